@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # A key is hot when it holds at least 1/HOT_KEYS of the rows, so there can
@@ -30,14 +32,19 @@ def fits_broadcast(df: DataFrame) -> bool:
     return estimated_bytes(df) <= broadcast_limit(df.sparkSession)
 
 
-def hot_keys(facts: DataFrame, key: str, limit: int = HOT_KEYS) -> DataFrame:
+def _present(keys: list[str]) -> Column:
+    """All key columns are set."""
+    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+
+
+def hot_keys(facts: DataFrame, keys: list[str], limit: int = HOT_KEYS) -> DataFrame:
     """Keys that hold at least ``1/limit`` of all rows: at most ``limit`` rows."""
-    counts = facts.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
+    counts = facts.filter(_present(keys)).groupBy(*keys).agg(F.count("*").alias("_n"))
     total = counts.agg(F.sum("_n").alias("_t")).scalar()
-    return counts.filter(F.col("_n") * limit >= total).select(key)
+    return counts.filter(F.col("_n") * limit >= total).select(*keys)
 
 
-def lookup(facts: DataFrame, dim: DataFrame, key: str, how: str = "left") -> DataFrame:
+def lookup(facts: DataFrame, dim: DataFrame, key: str | list[str], how: str = "left", hot_limit: int = HOT_KEYS) -> DataFrame:
     """Join ``facts`` to ``dim``, which has few rows per key, on ``key``.
 
     A table within the broadcast bound is broadcast.  A larger one is joined
@@ -48,13 +55,14 @@ def lookup(facts: DataFrame, dim: DataFrame, key: str, how: str = "left") -> Dat
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type: {how}")
+    keys = [key] if isinstance(key, str) else list(key)
     if fits_broadcast(dim):
-        return facts.join(F.broadcast(dim), key, how)
+        return facts.join(F.broadcast(dim), keys, how)
 
-    hot = F.broadcast(hot_keys(facts, key))
-    spread = facts.join(hot, key, "left_semi").join(F.broadcast(dim.join(hot, key, "left_semi")), key, how)
-    shuffled = facts.filter(F.col(key).isNotNull()).join(hot, key, "left_anti").join(dim, key, how)
+    hot = F.broadcast(hot_keys(facts, keys, hot_limit))
+    spread = facts.join(hot, keys, "left_semi").join(F.broadcast(dim.join(hot, keys, "left_semi")), keys, how)
+    shuffled = facts.filter(_present(keys)).join(hot, keys, "left_anti").join(dim, keys, how)
     joined = shuffled.unionByName(spread)
     if how == "left":
-        joined = joined.unionByName(facts.filter(F.col(key).isNull()), allowMissingColumns=True)
+        joined = joined.unionByName(facts.filter(~_present(keys)), allowMissingColumns=True)
     return joined

@@ -9,11 +9,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from basketlens.functions.joins import estimated_bytes
 from basketlens.functions.scalars import quoted
 from basketlens.functions.shared_tables import written_table
 
 _POSITION_MASK = (1 << 33) - 1  # low bits of monotonically_increasing_id
 BUCKETS = 4096
+SMALL_BYTES = 64 << 20  # below this, distinct values are counted in one pass
 
 
 def _range_sorted(df: DataFrame, order: Sequence[Column], label: str) -> DataFrame:
@@ -87,15 +89,21 @@ def _bucket(value: Column, low: Column, high: Column) -> Column:
     return F.coalesce(F.least(F.floor(share * BUCKETS), F.lit(BUCKETS - 1)), F.lit(0))
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
+def exact_quantiles(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], passes: int | None = None
+) -> DataFrame:
     """Exact quantiles with linear interpolation: (column, n, quantiles).
 
-    Finds order statistics by counting.  Each pass counts the values in up
-    to BUCKETS equal-width buckets of the interval known to hold a wanted
-    position, then narrows to one bucket; the last pass counts distinct
-    values of that bucket.  Every pass is a scan with a partial aggregate:
-    no sort of the data, no list of the values.
+    Finds order statistics by counting.  Each of ``passes`` counts the values
+    in up to BUCKETS equal-width buckets of the interval known to hold a
+    wanted position, then narrows to one bucket; a last one counts the
+    distinct values of that bucket.  Every pass is a scan with a partial
+    aggregate: no sort of the data, no list of the values.  By default two
+    passes narrow the interval 16-million-fold, and none does for a table
+    known to be small.
     """
+    if passes is None:
+        passes = 0 if estimated_bytes(df.select(*[quoted(c) for c in columns])) <= SMALL_BYTES else 2
     long = unpivot_numbers(df, columns)
     span = long.groupBy("column").agg(
         F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high")
@@ -118,13 +126,11 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
             "c.column", "t.pos", F.col("c.start").alias("base"), "c.low", "c.high"
         )
 
-    def brackets_of(found: DataFrame) -> DataFrame:
-        return found.select("column", "base", "low", "high").distinct()
-
-    by_width = _bucket(F.col("value"), F.col("low"), F.col("high"))
-    first = narrow(span.select("column", F.lit(0).cast("long").alias("base"), "low", "high"), wanted, by_width)
-    second = narrow(brackets_of(first), wanted, by_width)
-    last = narrow(brackets_of(second), wanted, F.col("value"))
+    brackets = span.select("column", F.lit(0).cast("long").alias("base"), "low", "high")
+    for _ in range(passes):
+        held = narrow(brackets, wanted, _bucket(F.col("value"), F.col("low"), F.col("high")))
+        brackets = held.select("column", "base", "low", "high").distinct()
+    last = narrow(brackets, wanted, F.col("value"))
 
     at = last.groupBy("column").agg(F.map_from_entries(F.collect_list(F.struct("pos", "low"))).alias("at"))
     low_value = [F.element_at("at", F.floor(p)) for p in exact]
