@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import itertools
 import random
+import statistics
+from collections.abc import Callable
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import (
@@ -18,6 +21,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -25,6 +29,7 @@ from pyspark.sql import functions as F
 from basketlens.dataset import Dataset
 from basketlens.functions.ordering import rank_in_group, running_totals
 from basketlens.functions.scalars import quoted, ratio, total_of
+from basketlens.functions.joins import estimated_bytes
 from basketlens.functions.shared_tables import written_table
 from basketlens.operators.churn import LAST_ORDER_FEATURES, churn_dataset_last_order
 from basketlens.operators.cleaning import standard_scale
@@ -35,6 +40,8 @@ from basketlens.operators.splits import seeded_order, stratified_folds, stratifi
 SEED = 42
 RISK_LEVELS = [(0.3, "Low"), (0.6, "Medium")]  # fixed values: upper limits
 HIGH_RISK = "High"
+CONCURRENT_FITS = 8
+TRAINING_PARTITION_BYTES = 32 << 20
 
 
 # --- measures ------------------------------------------------------------------
@@ -177,6 +184,13 @@ def classifiers(label: str) -> dict[str, Estimator]:
     }
 
 
+def right_sized(df: DataFrame) -> DataFrame:
+    """No more partitions than the size asks for.  A learner runs hundreds of
+    short jobs, and on a small table the number of tasks is all they cost."""
+    wanted = max(1, estimated_bytes(df) // TRAINING_PARTITION_BYTES)
+    return df.coalesce(int(wanted))
+
+
 def with_vector(estimator: Estimator, features: list[str]) -> Pipeline:
     """Assemble, standardise, learn."""
     return Pipeline(
@@ -188,10 +202,6 @@ def with_vector(estimator: Estimator, features: list[str]) -> Pipeline:
     )
 
 
-def _assemble(df: DataFrame, features: list[str]) -> DataFrame:
-    return VectorAssembler(inputCols=features, outputCol="features").transform(df)
-
-
 def probability_of_one(model: Model, df: DataFrame) -> DataFrame:
     """Predictions with ``score``: the probability of class 1, or the raw
     margin where the learner has no probabilities."""
@@ -209,7 +219,7 @@ def train_churn(
     pipeline = Pipeline(
         stages=[VectorAssembler(inputCols=features, outputCol="features"), estimator or gradient_boosting(label)]
     )
-    model = pipeline.fit(split.filter("split = 'train'"))
+    model = pipeline.fit(right_sized(split.filter("split = 'train'")))
     return model, probability_of_one(model, split.filter("split = 'test'"))
 
 
@@ -257,18 +267,33 @@ def at_risk_customers(scores: DataFrame, threshold: float = 0.6, n: int = 100) -
     return scores.filter(F.col("churn_probability") > threshold).orderBy(F.desc("churn_probability"), PERSON).limit(n)
 
 
+def _fold_scores(folded: DataFrame, features: list[str], label: str, learners: dict[str, Estimator], folds: int) -> dict[str, list[float]]:
+    """ROC-AUC of every learner on every fold.  The fits are independent
+    Spark jobs and are submitted side by side."""
+    judge = BinaryClassificationEvaluator(labelCol=label)
+
+    def score(task: tuple[str, int]) -> float:
+        name, fold = task
+        model = with_vector(learners[name], features).fit(folded.filter(F.col("fold") != fold))
+        return float(judge.evaluate(model.transform(folded.filter(F.col("fold") == fold))))
+
+    tasks = [(name, fold) for name in learners for fold in range(folds)]
+    scores = _side_by_side(score, tasks, folded)
+    return {name: [s for (n, _), s in zip(tasks, scores) if n == name] for name in learners}
+
+
+def _side_by_side(work: Callable, tasks: list, df: DataFrame) -> list:
+    """Run driver-side calls that start Spark jobs in a few threads."""
+    wrapped = inheritable_thread_target(df.sparkSession)(work)
+    with ThreadPool(min(CONCURRENT_FITS, len(tasks))) as pool:
+        return pool.map(wrapped, tasks, chunksize=1)
+
+
 def cross_validate(data: DataFrame, features: list[str], label: str, estimator: Estimator, folds: int = 5) -> tuple[float, float]:
     """Mean and standard deviation of ROC-AUC over stratified folds."""
-    folded = written_table(stratified_folds(data, PERSON, label, folds, SEED), "folds")
-    validator = CrossValidator(
-        estimator=with_vector(estimator, features),
-        estimatorParamMaps=[{}],
-        evaluator=BinaryClassificationEvaluator(labelCol=label),
-        numFolds=folds,
-        foldCol="fold",
-        parallelism=2,
-    ).fit(folded)
-    return validator.avgMetrics[0], validator.stdMetrics[0]
+    folded = right_sized(written_table(stratified_folds(data, PERSON, label, folds, SEED), "folds"))
+    scores = _fold_scores(folded, features, label, {"": estimator}, folds)[""]
+    return statistics.fmean(scores), statistics.pstdev(scores)
 
 
 def cross_validation_table(data: DataFrame, features: list[str], label: str, estimator: Estimator, folds: int = 5) -> DataFrame:
@@ -280,29 +305,35 @@ def compare_models(
     data: DataFrame, features: list[str], label: str, learners: dict[str, Estimator] | None = None, folds: int = 5
 ) -> DataFrame:
     """The same data through several learners: held-out accuracy, precision,
-    recall, F1 and ROC-AUC, with the cross-validated ROC-AUC."""
+    recall, F1 and ROC-AUC, with the cross-validated ROC-AUC.  Learners that
+    take weights get balanced classes."""
     split = written_table(class_weights(stratified_split(data, PERSON, label, 0.2, SEED), label), "compare-split")
-    train, test = split.filter("split = 'train'"), split.filter("split = 'test'")
-    rows = None
-    for name, learner in (learners or classifiers(label)).items():
-        weighted = learner.copy()
-        if weighted.hasParam("weightCol"):
-            weighted.set(weighted.weightCol, "weight")
-        model = with_vector(weighted, features).fit(train)
+    train, test = right_sized(split.filter("split = 'train'")), right_sized(split.filter("split = 'test'"))
+    balanced = {name: learner.copy() for name, learner in (learners or classifiers(label)).items()}
+    for learner in balanced.values():
+        if learner.hasParam("weightCol"):
+            learner.set(learner.weightCol, "weight")
+
+    def held_out(name: str) -> DataFrame:
+        model = with_vector(balanced[name], features).fit(train)
         predicted = probability_of_one(model, test).select(label, F.col("prediction").cast("int").alias("prediction"), "score")
-        held = written_table(predicted, "compared")
-        one = classification_metrics(held, label, "prediction").filter("class = 1")
+        return written_table(predicted, "compared")
+
+    predictions = dict(zip(balanced, _side_by_side(held_out, list(balanced), data)))
+    folded = right_sized(written_table(stratified_folds(train.drop("split"), PERSON, label, folds, SEED), "folds"))
+    validated = _fold_scores(folded, features, label, balanced, folds)
+    rows = None
+    for name, held in predictions.items():
         area = total_of(roc_auc(held, label, "score"), F.max("roc_auc"))
-        mean, std = cross_validate(train.drop("split"), features, label, weighted, folds) if folds else (None, None)
-        row = one.select(
+        row = classification_metrics(held, label, "prediction").filter("class = 1").select(
             F.lit(name).alias("model"),
             "accuracy",
             "precision",
             "recall",
             "f1",
             area.alias("roc_auc"),
-            F.lit(mean).cast("double").alias("cv_roc_auc_mean"),
-            F.lit(std).cast("double").alias("cv_roc_auc_std"),
+            F.lit(statistics.fmean(validated[name])).alias("cv_roc_auc_mean"),
+            F.lit(statistics.pstdev(validated[name])).alias("cv_roc_auc_std"),
         )
         rows = row if rows is None else rows.unionByName(row)
     return rows.orderBy(F.desc("roc_auc"), "model")
@@ -322,16 +353,16 @@ def tune_model(
         for name, value in setting.items():
             builder = builder.addGrid(estimator.getParam(name), [value])
         grid.extend(builder.build())
-    folded = written_table(stratified_folds(data, PERSON, label, folds, SEED), "tuning")
+    folded = right_sized(written_table(stratified_folds(data, PERSON, label, folds, SEED), "tuning"))
     fitted = CrossValidator(
         estimator=with_vector(estimator, features),
         estimatorParamMaps=grid,
         evaluator=BinaryClassificationEvaluator(labelCol=label),
         numFolds=folds,
         foldCol="fold",
-        parallelism=4,
+        parallelism=CONCURRENT_FITS,
     ).fit(folded)
-    rows = [(", ".join(f"{k}={v}" for k, v in s.items()), m) for s, m in zip(chosen, fitted.avgMetrics)]
+    rows = [(", ".join(f"{k}={v}" for k, v in s.items()), float(m)) for s, m in zip(chosen, fitted.avgMetrics)]
     found = data.sparkSession.createDataFrame(rows, "setting string, roc_auc double")
     # a handful of settings
     return found.withColumn("rank", F.row_number().over(W.partitionBy(F.lit(0)).orderBy(F.desc("roc_auc"), "setting")))

@@ -40,11 +40,14 @@ def retail(operator: Callable[[Dataset], DataFrame]) -> Callable[[SparkSession,
     return lambda spark, folder: rounded(operator(load_star_schema(spark, folder)))
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round doubles for a comparison between engines; -0.0 becomes 0.0."""
+def rounded(df: DataFrame, digits: int = 6, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Round doubles for a comparison between engines; -0.0 becomes 0.0.
+    Columns to ``keep`` are the same in both to the last bit."""
     return df.select(
         *[
-            (F.round(F.col(f.name), digits) + F.lit(0.0)).alias(f.name) if isinstance(f.dataType, T.DoubleType) else f.name
+            (F.round(F.col(f.name), digits) + F.lit(0.0)).alias(f.name)
+            if isinstance(f.dataType, T.DoubleType) and f.name not in keep
+            else f.name
             for f in df.schema.fields
         ]
     )

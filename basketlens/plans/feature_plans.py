@@ -9,6 +9,8 @@ from basketlens.plans.base import Plan, retail, rounded, sql
 from basketlens.plans.kpi_plans import PER_PERSON
 from basketlens.sources.star_schema import load_star_schema, read_table
 
+# sums of exact decimals and one division: the same double in both engines
+EXACT = ("monetary", "avg_price", "min_price", "max_price", "price_range")
 ORDER_VALUES = "SELECT order_id, sum(price) AS v FROM d_items GROUP BY order_id"
 RFM = """SELECT person AS customer_unique_id, date_sub('day', max(ts), (SELECT max(ts) FROM d_orders)) AS recency_days,
     count(*) AS frequency, coalesce(CAST(sum(v) AS DOUBLE), 0.0) AS monetary FROM d_orders
@@ -46,10 +48,10 @@ SCORE_CTES = {**RFM_CTES, "ranked": RFM_RANKED, "scores": RFM_SCORES, "totals":
 
 AFFINITY = """SELECT person AS customer_unique_id, category, count(*) AS purchase_count FROM d_items JOIN d_orders USING (order_id)
     JOIN d_customers USING (customer_id) JOIN d_products USING (product_id) WHERE category IS NOT NULL GROUP BY ALL"""
-PRICES = """SELECT person AS customer_unique_id, round(CAST(sum(price) AS DOUBLE) / count(price), 4) AS avg_price,
-    round(CAST(min(price) AS DOUBLE), 4) AS min_price, round(CAST(max(price) AS DOUBLE), 4) AS max_price,
+PRICES = """SELECT person AS customer_unique_id, CAST(sum(price) AS DOUBLE) / count(price) AS avg_price,
+    CAST(min(price) AS DOUBLE) AS min_price, CAST(max(price) AS DOUBLE) AS max_price,
     round(coalesce(stddev_samp(CAST(price AS DOUBLE)), 0), 4) AS std_price,
-    round(CAST(max(price) AS DOUBLE) - CAST(min(price) AS DOUBLE), 4) AS price_range FROM d_items
+    CAST(max(price) AS DOUBLE) - CAST(min(price) AS DOUBLE) AS price_range FROM d_items
     JOIN d_orders USING (order_id) JOIN d_customers USING (customer_id) GROUP BY person"""
 
 
@@ -100,7 +102,7 @@ def _seen_customers(spark, folder):
     """Feature rows of everybody who appears in the event stream."""
     ds = load_star_schema(spark, folder)
     seen = read_table(spark, folder, "events").select(F.col("user_id").alias("customer_unique_id"))
-    return rounded(features.customer_feature_lookup(features.customer_features(ds), seen), 4)
+    return rounded(features.customer_feature_lookup(features.customer_features(ds), seen), 4, EXACT)
 
 
 def _event_times(spark, folder):
@@ -165,7 +167,7 @@ PLANS = {
             + " FROM affinity GROUP BY 1", affinity=AFFINITY),
     ),
     "price_sensitivity": Plan(
-        lambda spark, folder: rounded(features.price_sensitivity(load_star_schema(spark, folder)), 4), sql(PRICES)
+        lambda spark, folder: rounded(features.price_sensitivity(load_star_schema(spark, folder)), 4, EXACT), sql(PRICES)
     ),
     "temporal_preferences": Plan(
         retail(lambda ds: features.temporal_preferences(features.order_times(ds))),
@@ -173,12 +175,12 @@ PLANS = {
     ),
     "temporal_preferences_events": Plan(_event_times, preferred_sql("SELECT user_id, ts FROM events", "user_id")),
     "customer_features": Plan(
-        lambda spark, folder: rounded(features.customer_features(load_star_schema(spark, folder)), 4),
-        sql(f"SELECT * REPLACE (round(monetary, 4) AS monetary) FROM ({FEATURES})", **FEATURE_CTES),
+        lambda spark, folder: rounded(features.customer_features(load_star_schema(spark, folder)), 4, EXACT),
+        sql(FEATURES, **FEATURE_CTES),
     ),
     "customer_feature_lookup": Plan(
         _seen_customers,
-        sql(f"SELECT * REPLACE (round(monetary, 4) AS monetary) FROM ({FEATURES}) "
+        sql(f"SELECT * FROM ({FEATURES}) "
             "WHERE customer_unique_id IN (SELECT user_id FROM events)", **FEATURE_CTES),
     ),
     "customer_lifetime": Plan(
