@@ -6,7 +6,7 @@ from importlib import import_module
 
 from basketlens.plans.base import Plan
 
-AREAS = ["kpi_plans", "feature_plans", "recommend_plans", "table_plans", "experiment_plans", "churn_plans"]
+AREAS = ["kpi_plans", "feature_plans", "recommend_plans", "table_plans", "experiment_plans", "churn_plans", "content_plans"]
 
 
 def all_plans() -> dict[str, Plan]:
