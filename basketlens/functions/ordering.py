@@ -85,8 +85,8 @@ def unpivot_numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def _bucket(value: Column, low: Column, high: Column) -> Column:
-    share = (value - low) / F.when(high > low, high - low)
-    return F.coalesce(F.least(F.floor(share * BUCKETS), F.lit(BUCKETS - 1)), F.lit(0))
+    share = F.coalesce((value - low) / F.when(high > low, high - low), F.lit(0.0))
+    return F.least(F.floor(share * BUCKETS), F.lit(BUCKETS - 1))
 
 
 def exact_quantiles(

@@ -72,7 +72,7 @@ def price_histogram(df: DataFrame, column: str = "price", bins: int = 50) -> Dat
     values = df.select(value.alias("x")).filter(F.col("x").isNotNull() & ~F.isnan("x"))
     span = values.agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi"))).scalar()
     width = F.when(span["hi"] > span["lo"], (span["hi"] - span["lo"]) / bins)
-    bin_of = F.coalesce(F.least(F.floor((F.col("x") - span["lo"]) / width), F.lit(bins - 1)), F.lit(0)) + 1
+    bin_of = F.least(F.floor(F.coalesce((F.col("x") - span["lo"]) / width, F.lit(0.0))), F.lit(bins - 1)) + 1
     counts = values.groupBy(bin_of.alias("bin")).agg(F.count("*").alias("n"))
     edges = df.sparkSession.range(1, bins + 1).select(
         F.col("id").alias("bin"),
