@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A key is hot when it holds at least 1/HOT_KEYS of the rows, so there can
 # never be more than HOT_KEYS hot keys, whatever the size of the table.
@@ -38,20 +39,23 @@ def _present(keys: list[str]) -> Column:
 
 
 def hot_keys(facts: DataFrame, keys: list[str], limit: int = HOT_KEYS) -> DataFrame:
-    """Keys that hold at least ``1/limit`` of all rows: at most ``limit`` rows."""
+    """Keys that hold at least ``1/limit`` of all rows, so at most ``limit`` of
+    them, and in how many pieces to cut each so that none is hot."""
     counts = facts.filter(_present(keys)).groupBy(*keys).agg(F.count("*").alias("_n"))
     total = counts.agg(F.sum("_n").alias("_t")).scalar()
-    return counts.filter(F.col("_n") * limit >= total).select(*keys)
+    share = F.col("_n") * limit / total
+    return counts.filter(share >= 1).select(*keys, F.ceil(share).alias("_pieces"))
 
 
 def lookup(facts: DataFrame, dim: DataFrame, key: str | list[str], how: str = "left", hot_limit: int = HOT_KEYS) -> DataFrame:
     """Join ``facts`` to ``dim``, which has few rows per key, on ``key``.
 
     A table within the broadcast bound is broadcast.  A larger one is joined
-    by shuffle, except for the hot keys of ``facts``: their dimension rows
-    (a bounded number) are broadcast, so a single product, order or customer
-    with a third of all rows stays spread over all tasks.  Rows without a
-    key match nothing and skip the shuffle.
+    by shuffle.  Then a single product, order or customer may hold a third of
+    all rows: hot keys are cut into pieces by a salt, in proportion to their
+    size, and their few dimension rows are repeated for each piece - at most
+    ``2 * hot_limit`` pieces in all.  Rows without a key match nothing and
+    are spread as well.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type: {how}")
@@ -59,10 +63,14 @@ def lookup(facts: DataFrame, dim: DataFrame, key: str | list[str], how: str = "l
     if fits_broadcast(dim):
         return facts.join(F.broadcast(dim), keys, how)
 
+    if how == "inner":
+        facts = facts.filter(_present(keys))
     hot = F.broadcast(hot_keys(facts, keys, hot_limit))
-    spread = facts.join(hot, keys, "left_semi").join(F.broadcast(dim.join(hot, keys, "left_semi")), keys, how)
-    shuffled = facts.filter(_present(keys)).join(hot, keys, "left_anti").join(dim, keys, how)
-    joined = shuffled.unionByName(spread)
-    if how == "left":
-        joined = joined.unionByName(facts.filter(~_present(keys)), allowMissingColumns=True)
-    return joined
+    # from the row and its partition: a task that is run again cuts alike
+    plain = [F.col(f"`{f.name}`") for f in facts.schema.fields if not isinstance(f.dataType, T.MapType)]
+    spread = F.xxhash64(*plain, F.spark_partition_id())
+    salt = F.when(_present(keys), F.pmod(spread, F.coalesce("_pieces", F.lit(1)))).otherwise(spread)
+    cut = facts.join(hot, keys, "left").withColumn("_salt", salt).drop("_pieces")
+    pieces = F.sequence(F.lit(0).cast("long"), F.coalesce("_pieces", F.lit(1)) - 1)
+    repeated = dim.join(hot, keys, "left").withColumn("_salt", F.explode(pieces)).drop("_pieces")
+    return cut.join(repeated, [*keys, "_salt"], how).drop("_salt")

@@ -15,7 +15,7 @@ from basketlens.functions.shared_tables import written_table
 
 _POSITION_MASK = (1 << 33) - 1  # low bits of monotonically_increasing_id
 BUCKETS = 4096
-SMALL_BYTES = 64 << 20  # below this, distinct values are counted in one pass
+PASS_BYTES = (1 << 20, 256 << 20)  # sizes from which a narrowing pass pays
 
 
 def _range_sorted(df: DataFrame, order: Sequence[Column], label: str) -> DataFrame:
@@ -99,11 +99,12 @@ def exact_quantiles(
     wanted position, then narrows to one bucket; a last one counts the
     distinct values of that bucket.  Every pass is a scan with a partial
     aggregate: no sort of the data, no list of the values.  By default two
-    passes narrow the interval 16-million-fold, and none does for a table
-    known to be small.
+    passes narrow the interval 16-million-fold, fewer for a table known to
+    be small.
     """
     if passes is None:
-        passes = 0 if estimated_bytes(df.select(*[quoted(c) for c in columns])) <= SMALL_BYTES else 2
+        size = estimated_bytes(df.select(*[quoted(c) for c in columns]))
+        passes = sum(size > limit for limit in PASS_BYTES)
     long = unpivot_numbers(df, columns)
     span = long.groupBy("column").agg(
         F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high")

@@ -65,7 +65,7 @@ def pair_counts(lines: DataFrame, min_count: int | Column, big_basket: int = BIG
     the largest of the baskets beyond ``big_basket`` items: see ``_with_big``.
     """
     least = F.lit(min_count) if isinstance(min_count, int) else min_count
-    kept = written_table(_promising(lines, least), "basket-lines")
+    kept = written_table(_promising(written_table(lines, "all-lines"), least), "basket-lines")
     sizes = kept.groupBy("basket").agg(F.count("*").alias("items"))
     largest, needed = sizes.agg(F.coalesce(F.max("items"), F.lit(0))).select("*", F.ceil(least)).first()
     # a pair seen once per basket needs a basket besides the needed - 1 largest

@@ -140,8 +140,10 @@ def test_short_list(spark):
     assert (found["v"]["precision_at_k"], found["v"]["precision_at_returned"], found["v"]["ndcg"]) == (0.0, 0.0, 0.0)
 
 
-def test_matches_equal_brute_force(spark, monkeypatch):
+@pytest.mark.parametrize("catalogue", ["small", "large"])
+def test_matches_equal_brute_force(spark, monkeypatch, catalogue):
     monkeypatch.setattr(content, "BLOCK_ITEMS", 7)
+    monkeypatch.setattr(content, "fits_broadcast", lambda items: catalogue == "small")
     rng = np.random.default_rng(0)
     vectors = rng.normal(size=(90, 6))
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "id long, v array<double>")
