@@ -147,7 +147,7 @@ def recommend_popular(model: Recommender, ds: Dataset, people: DataFrame | None
     wants = (people if people is not None else all_people(ds)).select("who").withColumns(
         {"list_id": F.lit(EVERYTHING), "need": F.lit(k)}
     )
-    excluded = bought_products(ds).withColumn("list_id", F.lit(EVERYTHING))
+    excluded = written_table(bought_products(ds), "bought").withColumn("list_id", F.lit(EVERYTHING))
     found = first_unlisted(model.popularity, wants, excluded, k)
     scored = found.select("who", "product_id", F.col("purchase_count").alias("score"))
     return _result(_numbered(scored, k).withColumn("method", F.lit("popularity")))
@@ -280,20 +280,20 @@ def category_lists(ds: Dataset) -> DataFrame:
     sales = ds.order_items.groupBy("product_id").agg(F.count("*").alias("n"))
     listed = category_of_product(ds).filter(F.col("category").isNotNull()).join(sales, "product_id", "left")
     ranked = listed.select("product_id", F.col("category").alias("list_id"), F.coalesce("n", F.lit(0)).alias("popularity"))
-    return rank_in_group(ranked, "list_id", [F.desc("popularity"), F.asc("product_id")])
+    return written_table(rank_in_group(ranked, "list_id", [F.desc("popularity"), F.asc("product_id")]), "category-lists")
 
 
 def recommend_category(ds: Dataset, people: DataFrame | None = None, k: int = 5, favourites: int = 3) -> DataFrame:
     """The most popular new products of the customer's favourite categories,
     the same number from each."""
-    bought = written_table(purchases(ds).withColumnRenamed("customer_unique_id", "who"), "bought")
+    bought = purchases(ds).withColumnRenamed("customer_unique_id", "who")
     if people is not None:
         bought = bought.join(people.select("who"), "who", "left_semi")
-    named = lookup(bought, category_of_product(ds), "product_id").filter(F.col("category").isNotNull())
+    named = written_table(lookup(bought, category_of_product(ds), "product_id").filter(F.col("category").isNotNull()), "named")
     tallies = named.groupBy("who", F.col("category").alias("list_id")).agg(F.sum("n").alias("n"))
     liked = top_per_group(tallies, ["who"], [F.desc("n"), F.asc("list_id")], favourites, "place")
     number = F.count("*").over(W.partitionBy("who"))  # at most `favourites` rows
-    liked = liked.withColumn("need", F.greatest(F.lit(1), F.floor(F.lit(k) / number)))
+    liked = written_table(liked.withColumn("need", F.greatest(F.lit(1), F.floor(F.lit(k) / number))), "favourites")
     excluded = named.select("who", F.col("category").alias("list_id"), "product_id")
     found = first_unlisted(category_lists(ds), liked.select("who", "list_id", "need"), excluded, k)
     placed = found.drop("rank").join(liked.select("who", "list_id", "place"), ["who", "list_id"])
