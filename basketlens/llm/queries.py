@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from basketlens.functions.shared_tables import new_path
-from basketlens.llm import packing, shards
+from basketlens.llm import packing, quality, shards, simhash
 from basketlens.llm.tokens import default_tokenizer
 from basketlens.llm.workers import find_package
 
@@ -27,10 +27,20 @@ def token_shards(spark: SparkSession, folder: str) -> DataFrame:
     return shards.read_documents(shards.open_shards(spark, path))
 
 
+def repetition_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.repetition_quality(_documents(spark, folder))
+
+
+def simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(_documents(spark, folder), bits=3, shingle=3)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_best_fit_packing": best_fit_packing,
         "op3_token_shards": token_shards,
+        "op9_repetition_quality": repetition_quality,
+        "op10_simhash_groups": simhash_groups,
     }
 
 
