@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from basketlens.functions.shared_tables import new_path
-from basketlens.llm import anchors, packing, quality, shards, simhash
+from basketlens.llm import anchors, packing, quality, runindex, shards, simhash
 from basketlens.llm.tokens import default_tokenizer
 from basketlens.llm.workers import find_package
 
@@ -39,10 +39,15 @@ def anchor_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return anchors.deduplicated(_documents(spark, folder), window=50)
 
 
+def repeated_bytes(spark: SparkSession, folder: str) -> DataFrame:
+    return runindex.without_repeats(_documents(spark, folder), window=400)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_best_fit_packing": best_fit_packing,
         "op3_token_shards": token_shards,
+        "op5_repeated_bytes": repeated_bytes,
         "op8_anchor_dedup": anchor_dedup,
         "op9_repetition_quality": repetition_quality,
         "op10_simhash_groups": simhash_groups,
