@@ -14,6 +14,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,7 +25,6 @@ from basketlens.llm.rolling import Rolling, Words, covered
 PERIOD, COVER = 31, (0, 1, 3, 8, 12, 18)
 
 KEPT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
-KEPT_TEXT = KEPT + ", kept_text string, row long"
 
 
 class _Anchored:
@@ -61,12 +61,11 @@ def _first_of_each(keys: np.ndarray, owners: np.ndarray) -> np.ndarray:
     return order[np.concatenate([[True], keys[order][1:] != keys[order][:-1]])] if len(order) else order
 
 
-def _repeats(docs: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
-    """The blocks, and per block the hashes of its windows that also start
+def _repeats(blocks: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
+    """The ``blocks``, and per block the hashes of its windows that also start
     in a smaller document, with that document."""
     if window < PERIOD + 8:
         raise ValueError(f"a window needs {PERIOD + 8} words at least")
-    blocks = written_blocks(docs)
 
     def list_anchors(block: Block):
         found = _Anchored(block, window)
@@ -128,21 +127,18 @@ def _removed(block: Block, findings: pa.Table, window: int) -> tuple[Words, np.n
     return words, covered(starts[gone], window, len(words.starts))
 
 
-def _kept(block: Block, findings: pa.Table, window: int, with_texts: bool) -> pa.Table:
-    words, gone = _removed(block, findings, window)
+def _kept_texts(block: Block, words: Words, gone: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+    """Words removed per text, and the rest joined by single spaces."""
     removed = np.bincount(words.text_of, gone, len(block.texts)).astype(np.int64)
     texts, data = [], words.data.tobytes()
     for i, text in enumerate(block.texts):
-        own = slice(words.firsts[i], words.firsts[i] + words.counts[i])
         if not removed[i]:
             texts.append(b" ".join(text.split()))
             continue
+        own = slice(words.firsts[i], words.firsts[i] + words.counts[i])
         here = np.flatnonzero(~gone[own]) + own.start
         texts.append(b" ".join(data[a:b] for a, b in zip(words.starts[here].tolist(), words.ends[here].tolist())))
-    made = {"doc_id": block.ids_column(), "n_words": words.counts, "n_removed": removed, "kept_sha256": [hashlib.sha256(t).hexdigest() for t in texts]}
-    if with_texts:
-        made |= {"kept_text": pa.array([t.decode() if r else None for t, r in zip(texts, removed)], pa.string()), "row": np.arange(len(texts))}
-    return pa.table(made)
+    return removed, texts
 
 
 def deduplicated(docs: DataFrame, window: int = 50) -> DataFrame:
@@ -155,13 +151,35 @@ def deduplicated(docs: DataFrame, window: int = 50) -> DataFrame:
     doc_id is smaller than all others.  Only ``doc_id`` and ``text`` are
     read; an empty table gives an empty result.
     """
-    blocks, repeats = _repeats(docs, window)
-    return with_findings(blocks, repeats, lambda block, found: _kept(block, found, window, False), KEPT)
+    blocks, repeats = _repeats(written_blocks(docs), window)
+
+    def digest(block: Block, findings: pa.Table) -> pa.Table:
+        words, gone = _removed(block, findings, window)
+        removed, texts = _kept_texts(block, words, gone)
+        hashes = pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string())
+        return pa.table({"doc_id": block.ids_column(), "n_words": words.counts, "n_removed": removed, "kept_sha256": hashes})
+
+    return with_findings(blocks, repeats, digest, KEPT)
 
 
 def without_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
-    """(doc_id, kept_text) of the documents that lose words: the rest,
-    joined by single spaces."""
-    blocks, repeats = _repeats(docs, window)
-    made = with_findings(blocks, repeats, lambda block, found: _kept(block, found, window, True), KEPT_TEXT)
-    return made.filter("n_removed > 0").select("doc_id", "kept_text")
+    """The documents with what ``deduplicated`` keeps: a text that loses
+    words is the rest joined by single spaces, and ``n_chars``, if there,
+    its length; one that loses all goes.  Other texts and columns stay as
+    they are."""
+    carried = tuple(c for c in docs.columns)
+    blocks, repeats = _repeats(written_blocks(docs, carried=tuple(c for c in carried if c != "text")), window)
+
+    def rebuild(block: Block, findings: pa.Table) -> pa.Table:
+        words, gone = _removed(block, findings, window)
+        removed, kept = _kept_texts(block, words, gone)
+        texts = [(k if r else t).decode() for r, k, t in zip(removed, kept, block.texts)]
+        rows = block.carried()
+        rows = rows.append_column("text", pa.array(texts, pa.string()))
+        if "n_chars" in rows.column_names:
+            lengths = pa.array([len(t) if r else None for r, t in zip(removed, texts)], pa.int64())
+            merged = pc.coalesce(lengths, rows["n_chars"].cast(pa.int64())).cast(rows.schema.field("n_chars").type)
+            rows = rows.set_column(rows.column_names.index("n_chars"), "n_chars", merged)
+        return rows.select(carried).filter(pa.array((removed == 0) | np.array([bool(t) for t in texts], bool)))
+
+    return with_findings(blocks, repeats, rebuild, docs.schema)

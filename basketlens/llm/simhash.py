@@ -1,9 +1,9 @@
 """Near-duplicates by SimHash fingerprints in vantage-point trees.
 
 Two 64-bit fingerprints that differ in at most 3 bits differ in at most one
-bit of some 32-bit half.  So each half has a tree of its own, searched with
-radius 1, where triangle bounds prune far better than with radius 3 over
-all bits.  The upper levels of a tree, built from a bounded sample, cut the
+bit of some 32-bit half.  So each half (or smaller part, for more bits) has
+a tree of its own, searched with radius 1, where triangle bounds prune far
+better than with the whole radius over all bits.  The upper levels of a tree, built from a bounded sample, cut the
 space into shards; a fingerprint has its home in one shard and visits those
 whose bound its ball overlaps.  A shard goes on with a tree of its own and
 compares whole fingerprints in the leaves.
@@ -19,11 +19,9 @@ from pyspark.sql import functions as F
 from basketlens.functions.shared_tables import written_table
 from basketlens.llm.components import components
 
-HALVES = 2
-HALF_BITS = 64 // HALVES
 #: Fingerprints that have their home in one shard, about.
 SHARD_SIZE = 16_384
-#: Shards of a half, and fingerprints sampled to place their bounds.
+#: Shards of a part, and fingerprints sampled to place their bounds.
 MOST_SHARDS = 4_096
 SAMPLED_PER_SHARD = 16
 LEAF_SIZE = 64
@@ -87,8 +85,18 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(compute, "doc_id long, fp long")
 
 
-def _half(fps: np.ndarray, half: int) -> np.ndarray:
-    return fps >> np.uint64(HALF_BITS * half) & np.uint64(2**HALF_BITS - 1)
+def parts_for(bits: int) -> int:
+    """The fewest equal parts, a power of two, of which one differs in at
+    most one bit wherever ``bits`` bits differ."""
+    parts = 1
+    while bits // parts > 1:
+        parts *= 2
+    return parts
+
+
+def _part(fps: np.ndarray, part: int, parts: int) -> np.ndarray:
+    width = 64 // parts
+    return fps >> np.uint64(width * part) & np.uint64(2**width - 1)
 
 
 def _split(points: np.ndarray, tries: int = 8) -> tuple[np.uint64, int] | None:
@@ -167,10 +175,11 @@ class _Groups:
                 self.roots = jumped
 
 
-def shard_groups(fps: np.ndarray, home: np.ndarray, half: int, bits: int) -> np.ndarray:
+def shard_groups(fps: np.ndarray, home: np.ndarray, part: int, bits: int) -> np.ndarray:
     """The first place of the group of each fingerprint of a shard, where
     links go from any fingerprint to one that lives here."""
-    groups, halves, half_radius = _Groups(len(fps)), _half(fps, half), bits // HALVES
+    parts = parts_for(bits)
+    groups, own_part = _Groups(len(fps)), _part(fps, part, parts)
     todo = [(np.flatnonzero(home), np.arange(len(fps)))]
     while todo:
         live, ask = todo.pop()
@@ -178,7 +187,7 @@ def shard_groups(fps: np.ndarray, home: np.ndarray, half: int, bits: int) -> np.
             continue
         cut = None
         if len(live) > LEAF_SIZE:
-            for space, radius in ((halves, half_radius), (fps, bits)):  # a half that all share: all bits
+            for space, radius in ((own_part, bits // parts), (fps, bits)):  # a part that all share: all bits
                 cut = _split(space[live])
                 if cut is not None:
                     break
@@ -211,21 +220,22 @@ def fingerprint_links(distinct: DataFrame, bits: int = 3, shard_size: int = SHAR
     shards = max(1, min(MOST_SHARDS, -(-count // shard_size)))
     sample = distinct.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(shards * SAMPLED_PER_SHARD)
     sampled = np.array([r["fp"] for r in sample.collect()], np.int64).view(np.uint64)
-    trees = [shard_tree(np.unique(_half(sampled, half)), shards) for half in range(HALVES)]
+    parts = parts_for(bits)
+    trees = [shard_tree(np.unique(_part(sampled, part, parts)), shards) for part in range(parts)]
 
     def route(batches):
         for batch in batches:
             fps, nodes = batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy()
-            for half, tree in enumerate(trees):
-                for shard, who, home in routed(_half(fps, half), tree, bits // HALVES):
-                    place = np.full(len(who), shard * HALVES + half, np.int32)
+            for part, tree in enumerate(trees):
+                for shard, who, home in routed(_part(fps, part, parts), tree, bits // parts):
+                    place = np.full(len(who), shard * parts + part, np.int32)
                     columns = [place, fps[who].view(np.int64), nodes[who], home]
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["shard", "fp", "node", "home"])
 
     def link(key: tuple, table: pa.Table) -> pa.Table:
         fps = table["fp"].to_numpy().view(np.uint64)
         nodes = table["node"].to_numpy()
-        roots = shard_groups(fps, table["home"].to_numpy(), key[0].as_py() % HALVES, bits)
+        roots = shard_groups(fps, table["home"].to_numpy(), key[0].as_py() % parts, bits)
         linked = np.flatnonzero(roots != np.arange(len(roots)))
         return pa.table({"a": nodes[linked], "b": nodes[roots[linked]]})
 
