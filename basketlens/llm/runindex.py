@@ -220,21 +220,22 @@ _SEGMENT_SCHEMA = pa.schema([(n, _KINDS[k]) for n, k in (f.split() for f in SEGM
 def _bounded(segments: DataFrame, window: int, most: int) -> tuple[DataFrame, list[DataFrame]]:
     """Segments with at most ``most`` different ones to a core, and the spans
     found on the way.  Cores with more are halved until they have fewer; a
-    half that is a single window has one content only."""
-    found: list[DataFrame] = []
+    half that is a single window has one content only.  A round goes over
+    the halves of the last one alone."""
+    done, found = [], []
     while True:
         hot = segments.groupBy("core").agg(F.count("*").alias("n")).filter(F.col("n") > most)
         if hot.isEmpty():
-            return segments, found
+            return reduce(DataFrame.unionByName, [*done, segments]), found
         hot = written_table(hot.select("core"), "hot")
+        done.append(segments.join(hot, "core", "left_anti"))
         halves = _halved(segments.join(hot, "core", "left_semi"), window).dropDuplicates(["core", "block", "start", "stop"])
         halves = written_table(halves, "halves").withColumn("hull", F.sha2("text", 256))
         classes = halves.groupBy("core", "hull").agg(F.count("*").alias("n"), F.min(F.struct("block", "start")).alias("one"))
         marked = halves.join(classes, ["core", "hull"])
         found.append(marked.filter("n > 1").select("block", "start", "stop"))
         ones = marked.filter("one.block = block AND one.start = start")
-        segments = segments.join(hot, "core", "left_anti").unionByName(ones.select(*segments.columns))
-        segments = written_table(segments, "segments")
+        segments = written_table(ones.select(*segments.columns), "segments")
 
 
 def repeated_spans(docs: DataFrame, window: int, index_bytes: int = INDEX_BYTES, most: int = MOST_SEGMENTS) -> tuple[DataFrame, DataFrame]:
@@ -289,6 +290,7 @@ def repeated_spans(docs: DataFrame, window: int, index_bytes: int = INDEX_BYTES,
 
     cuts = written_table(with_findings(blocks, shared, cut, SEGMENT), "segments")
     segments, found = _bounded(cuts.filter("text IS NOT NULL"), window, most)
+    segments = written_table(segments, "segments") if found else segments
     total = segments.agg(F.sum(F.length("text"))).first()[0] or 0
     indexes = max(1, -(-total // index_bytes))
 
