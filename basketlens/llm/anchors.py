@@ -55,10 +55,10 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
-def _first_of_each(keys: np.ndarray, owners: np.ndarray) -> np.ndarray:
-    """Index of each distinct key's entry with the smallest owner."""
-    order = np.lexsort((owners, keys))
-    return order[np.concatenate([[True], keys[order][1:] != keys[order][:-1]])] if len(order) else order
+def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last place of each run of equal keys."""
+    firsts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, np.int64)
+    return firsts, np.append(firsts[1:], len(keys))[: len(firsts)] - 1
 
 
 def _repeats(blocks: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
@@ -72,24 +72,15 @@ def _repeats(blocks: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
         owner = block.doc_ids[found.words.text_of[found.at]]
         order = np.lexsort((owner, found.hashes))
         keys, owner = found.hashes[order], owner[order]
-        firsts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, np.int64)
-        lasts = np.append(firsts[1:], len(keys)) - 1
-        several = owner[firsts] != owner[lasts]
-        yield pa.RecordBatch.from_arrays(
-            [_signed(keys[firsts]), pa.array(np.full(len(firsts), block.number)), pa.array(owner[firsts]), pa.array(several)],
-            names=["hash", "block", "owner", "several"],
-        )
+        firsts, lasts = _runs(keys)
+        columns = [_signed(keys[firsts]), pa.array(np.full(len(firsts), block.number)), pa.array(owner[firsts] != owner[lasts])]
+        yield pa.RecordBatch.from_arrays(columns, names=["hash", "block", "several"])
 
-    listed = per_block(blocks, list_anchors, "hash long, block long, owner long, several boolean")
-    # One row per block and anchor; the block's other documents are in ``several``.
+    # One row per block and anchor; ``several`` documents of the block have it.
+    listed = per_block(blocks, list_anchors, "hash long, block long, several boolean")
     same = Window.partitionBy("hash")
-    shared = (
-        listed.withColumn("least", F.min("owner").over(same))
-        .withColumn("most", F.max("owner").over(same))
-        .withColumn("any", F.max("several").over(same))
-        .filter("least <> most OR any")
-        .select("block", "hash")
-    )
+    counted = listed.withColumn("n", F.count("*").over(same)).withColumn("any", F.max("several").over(same))
+    shared = counted.filter("n > 1 OR any").select("block", "hash")
 
     def list_windows(block: Block, findings: pa.Table) -> pa.Table:
         found = _Anchored(block, window)
@@ -97,17 +88,23 @@ def _repeats(blocks: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
         starts = found.windows_around(hits)
         first, second = found.window_hashes(starts)
         owner = block.doc_ids[found.words.text_of[starts]]
-        one = _first_of_each(first, owner)
-        largest = np.zeros(len(one), np.int64)
-        if len(one):
-            order = np.argsort(first, kind="stable")
-            runs = np.flatnonzero(np.concatenate([[True], first[order][1:] != first[order][:-1]]))
-            largest = np.maximum.reduceat(owner[order], runs)
-        return pa.table({"first": _signed(first[one]), "second": _signed(second[one]), "block": np.full(len(one), block.number), "owner": owner[one], "largest": largest})
-
-    listed = with_findings(blocks, shared, list_windows, "first long, second long, block long, owner long, largest long")
+        order = np.lexsort((owner, first))
+        first, second, owner = first[order], second[order], owner[order]
+        firsts, lasts = _runs(first)
+        return pa.table(
+            {
+                "first": _signed(first[firsts]),
+                "second": (second[firsts] >> np.uint64(32)).astype(np.uint32).view(np.int32),
+                "block": np.full(len(firsts), block.number),
+                "owner": owner[firsts],
+                "several": owner[firsts] != owner[lasts],
+            }
+        )
+
+    listed = with_findings(blocks, shared, list_windows, "first long, second int, block long, owner long, several boolean")
     same = Window.partitionBy("first", "second")
-    return blocks, listed.withColumn("least", F.min("owner").over(same)).filter("largest > least").select("block", "first", "second", "least")
+    least = listed.withColumn("least", F.min("owner").over(same))
+    return blocks, least.filter("owner > least OR several").select("block", "first", "least")
 
 
 def _removed(block: Block, findings: pa.Table, window: int) -> tuple[Words, np.ndarray]:
@@ -115,15 +112,13 @@ def _removed(block: Block, findings: pa.Table, window: int) -> tuple[Words, np.n
     words = Words(block.texts)
     if not findings.num_rows:
         return words, np.zeros(len(words.starts), bool)
-    first, second = findings["first"].to_numpy().view(np.uint64), findings["second"].to_numpy().view(np.uint64)
+    first = findings["first"].to_numpy().view(np.uint64)
     order = np.argsort(first)
-    first, second, least = first[order], second[order], findings["least"].to_numpy()[order]
-    rolling = [Rolling(words.hashes(k), k) for k in range(2)]
+    first, least = first[order], findings["least"].to_numpy()[order]
     starts = np.flatnonzero(words.whole(window))
-    mine = [r.of(starts, starts + window) for r in rolling]
-    at = np.minimum(np.searchsorted(first, mine[0]), len(first) - 1)
-    owner = block.doc_ids[words.text_of[starts]]
-    gone = (first[at] == mine[0]) & (second[at] == mine[1]) & (owner > least[at])
+    mine = Rolling(words.hashes()).of(starts, starts + window)
+    at = np.minimum(np.searchsorted(first, mine), len(first) - 1)
+    gone = (first[at] == mine) & (block.doc_ids[words.text_of[starts]] > least[at])
     return words, covered(starts[gone], window, len(words.starts))
 
 
@@ -146,7 +141,7 @@ def deduplicated(docs: DataFrame, window: int = 50) -> DataFrame:
 
     A word goes if a window of ``window`` words that covers it, in the same
     word sequence, also starts in a document with a smaller doc_id.  Windows
-    are compared by two 64-bit hashes.  Null and empty texts have no words.
+    are compared by 96 bits of hash.  Null and empty texts have no words.
     Rows with the same doc_id do not remove each other's words, and a null
     doc_id is smaller than all others.  Only ``doc_id`` and ``text`` are
     read; an empty table gives an empty result.
