@@ -6,7 +6,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from basketlens.functions.shared_tables import written_table
 
 # A key is hot when it holds at least 1/HOT_KEYS of the rows, so there can
 # never be more than HOT_KEYS hot keys, whatever the size of the table.
@@ -41,7 +42,7 @@ def _present(keys: list[str]) -> Column:
 def hot_keys(facts: DataFrame, keys: list[str], limit: int = HOT_KEYS) -> DataFrame:
     """Keys that hold at least ``1/limit`` of all rows, so at most ``limit`` of
     them, and in how many pieces to cut each so that none is hot."""
-    counts = facts.filter(_present(keys)).groupBy(*keys).agg(F.count("*").alias("_n"))
+    counts = facts.select(*keys).filter(_present(keys)).groupBy(*keys).agg(F.count("*").alias("_n"))
     total = counts.agg(F.sum("_n").alias("_t")).scalar()
     share = F.col("_n") * limit / total
     return counts.filter(share >= 1).select(*keys, F.ceil(share).alias("_pieces"))
@@ -55,7 +56,9 @@ def lookup(facts: DataFrame, dim: DataFrame, key: str | list[str], how: str = "l
     all rows: hot keys are cut into pieces by a salt, in proportion to their
     size, and their few dimension rows are repeated for each piece - at most
     ``2 * hot_limit`` pieces in all.  Rows without a key match nothing and
-    are spread as well.
+    are spread as well.  The hot keys are found from the key columns alone
+    and written, so that lookups after lookups add to the plan, and do not
+    multiply it.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type: {how}")
@@ -65,10 +68,10 @@ def lookup(facts: DataFrame, dim: DataFrame, key: str | list[str], how: str = "l
 
     if how == "inner":
         facts = facts.filter(_present(keys))
-    hot = F.broadcast(hot_keys(facts, keys, hot_limit))
-    # from the row and its partition: a task that is run again cuts alike
-    plain = [F.col(f"`{f.name}`") for f in facts.schema.fields if not isinstance(f.dataType, T.MapType)]
-    spread = F.xxhash64(*plain, F.spark_partition_id())
+    hot = F.broadcast(written_table(hot_keys(facts, keys, hot_limit), "hot-keys"))
+    # By partition: a task that is run again cuts alike, no column is read
+    # for it, and a piece gets no more than partitions at a time.
+    spread = F.xxhash64(F.spark_partition_id())
     salt = F.when(_present(keys), F.pmod(spread, F.coalesce("_pieces", F.lit(1)))).otherwise(spread)
     cut = facts.join(hot, keys, "left").withColumn("_salt", salt).drop("_pieces")
     pieces = F.sequence(F.lit(0).cast("long"), F.coalesce("_pieces", F.lit(1)) - 1)

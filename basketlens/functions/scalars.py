@@ -51,6 +51,12 @@ def text_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.CharType, T.VarcharType))]
 
 
+def without_nan(df: DataFrame) -> DataFrame:
+    """The same table with NaN as null: both are missing values."""
+    doubles = [f for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    return df.withColumns({f.name: F.nanvl(quoted(f.name), F.lit(None).cast(f.dataType)) for f in doubles}) if doubles else df
+
+
 def quoted(name: str) -> Column:
     """A column by its exact name, dots and spaces included."""
     return F.col("`" + name.replace("`", "``") + "`")

@@ -18,7 +18,7 @@ _written: list[str] = []
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``, or a temporary one for
     a local session that names none."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.basketlens.localFolder", None)
     if folder:
         return folder
     if not spark.conf.get("spark.master", "local").startswith("local"):
@@ -29,8 +29,7 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    folder = spark.conf.get("spark.basketlens.localFolder", None) or shared_folder(spark)
-    path = f"{folder.rstrip('/')}/basketlens-{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/basketlens-{label}-{uuid.uuid4().hex}"
     _written.append(path)
     return path
 

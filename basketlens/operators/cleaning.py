@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from basketlens.functions.joins import lookup
 from basketlens.functions.ordering import exact_quantiles, rank_in_group
-from basketlens.functions.scalars import numeric_columns, quoted, text_columns
+from basketlens.functions.scalars import numeric_columns, quoted, text_columns, without_nan
 from basketlens.operators.profiling import iqr_bounds
 
 UNKNOWN = "Unknown"
@@ -35,9 +35,9 @@ def impute(df: DataFrame, numbers: list[str] | None = None, texts: list[str] | N
 
 
 def drop_sparse_columns(df: DataFrame, max_missing: float = 0.5) -> DataFrame:
-    """Without the columns that are null in more than this share of rows.
+    """Without the columns that are missing in more than this share of rows.
     Which ones those are is table metadata: one small row to the driver."""
-    shares = df.agg(*[F.avg(quoted(c).isNull().cast("int")).alias(f"c{i}") for i, c in enumerate(df.columns)]).first()
+    shares = without_nan(df).agg(*[F.avg(quoted(c).isNull().cast("int")).alias(f"c{i}") for i, c in enumerate(df.columns)]).first()
     sparse = [c for i, c in enumerate(df.columns) if (shares[i] or 0.0) > max_missing]
     return df.select(*[quoted(c) for c in df.columns if c not in sparse])
 
@@ -47,7 +47,8 @@ def _fences(df: DataFrame, columns: list[str]) -> Column:
 
 
 def winsorize(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Clip to the IQR fences; nulls stay."""
+    """Clip to the IQR fences; missing values are null."""
+    df = without_nan(df)
     clipped = {
         c: F.when(quoted(c).isNotNull(), F.least(F.greatest(quoted(c).cast("double"), F.col(f"_f.c{i}.lower")), F.col(f"_f.c{i}.upper")))
         for i, c in enumerate(columns)
@@ -56,7 +57,9 @@ def winsorize(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def remove_outliers(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Keep rows whose values lie within the fences; rows with nulls go."""
+    """Keep rows whose values lie within the fences; rows with missing
+    values go."""
+    df = without_nan(df)
     kept = df.withColumn("_f", _fences(df, columns))
     for i, c in enumerate(columns):
         kept = kept.filter(quoted(c).cast("double").between(F.col(f"_f.c{i}.lower"), F.col(f"_f.c{i}.upper")))
@@ -111,7 +114,9 @@ def _moments(df: DataFrame, columns: list[str]) -> Column:
 
 
 def standard_scale(df: DataFrame, columns: list[str]) -> DataFrame:
-    """z-scores with the population deviation; a constant column becomes 0."""
+    """z-scores with the population deviation; a constant column becomes 0,
+    missing values are null."""
+    df = without_nan(df)
     scaled = {
         c: (quoted(c).cast("double") - F.col(f"_s.c{i}.mean")) / F.when(F.col(f"_s.c{i}.std") > 0, F.col(f"_s.c{i}.std")).otherwise(1.0)
         for i, c in enumerate(columns)
@@ -120,7 +125,9 @@ def standard_scale(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def minmax_scale(df: DataFrame, columns: list[str]) -> DataFrame:
-    """To the range 0..1; a constant column becomes 0."""
+    """To the range 0..1; a constant column becomes 0, missing values are
+    null."""
+    df = without_nan(df)
     scaled = {}
     for i, c in enumerate(columns):
         low, high = F.col(f"_s.c{i}.low"), F.col(f"_s.c{i}.high")

@@ -45,6 +45,8 @@ NARROW_FIRST = [
 ]
 
 
+MOST_COLUMNS = 5_000
+
 def orders_by_person(ds: Dataset, *aggregates: tuple[str, Column, str]) -> DataFrame:
     """Aggregate orders per person in two steps, customer id first, so that a
     customer with very many orders is one row when the person is looked up.
@@ -129,8 +131,15 @@ def category_affinity(ds: Dataset) -> DataFrame:
     return named.groupBy(PERSON, "category").agg(F.sum("n").alias("purchase_count"))
 
 
-def category_affinity_wide(ds: Dataset, categories: Sequence[str]) -> DataFrame:
-    """One column per given category, 0 where nothing was bought."""
+def category_affinity_wide(ds: Dataset, categories: Sequence[str] | None = None) -> DataFrame:
+    """One column per category, 0 where nothing was bought.  The categories
+    are those of the product table unless given; more than ``MOST_COLUMNS``
+    raise an error, as a table that wide is of no use."""
+    if categories is None:
+        named = category_of_product(ds).filter(F.col("category").isNotNull()).select("category").distinct()
+        categories = sorted(r["category"] for r in named.limit(MOST_COLUMNS + 1).collect())
+        if len(categories) > MOST_COLUMNS:
+            raise ValueError(f"more than {MOST_COLUMNS} categories; use the long form")
     wide = category_affinity(ds).groupBy(PERSON).pivot("category", list(categories)).agg(F.first("purchase_count"))
     return wide.na.fill(0)
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from basketlens.dataset import Dataset
 from basketlens.functions.joins import lookup
 from basketlens.functions.ordering import exact_quantiles
-from basketlens.functions.scalars import month_of, numeric_columns, percent, quoted, ratio, total_of
+from basketlens.functions.scalars import month_of, numeric_columns, percent, quoted, ratio, total_of, without_nan
 from basketlens.functions.scalars import whole_days
 from basketlens.operators.facts import category_of_product, order_values, person_of_customer
 
@@ -361,9 +361,10 @@ def correlations(df: DataFrame, columns: list[str] | None = None, min_abs: float
 
 
 def missing_values(tables: dict[str, DataFrame]) -> DataFrame:
-    """Null count and share of every column of every table."""
+    """Missing (null or NaN) count and share of every column of every table."""
     found = None
     for name, df in tables.items():
+        df = without_nan(df)
         nulls = [F.struct(F.lit(c).alias("column"), F.count_if(quoted(c).isNull()).alias("missing")) for c in df.columns]
         one = df.agg(F.count("*").alias("rows"), F.array(*nulls).alias("nulls")).select(
             F.lit(name).alias("table"), "rows", F.inline("nulls")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketlens.functions.ordering import exact_quantiles, top_per_group
-from basketlens.functions.scalars import numeric_columns, percent, quoted, ratio, text_columns, total_of
+from basketlens.functions.scalars import numeric_columns, percent, quoted, ratio, text_columns, total_of, without_nan
 from basketlens.operators.kpis import column_moments
 
 LISTED_VALUES = 10  # fixed value: distinct values up to which a profile lists them
@@ -66,6 +66,7 @@ def value_lists(df: DataFrame, columns: list[str], counts: DataFrame, limit: int
 
 def profile_columns(df: DataFrame) -> DataFrame:
     """Type, nulls, distinct values and range of each column."""
+    df = without_nan(df)
     texts, numbers = text_columns(df), numeric_columns(df)
     types = [F.struct(F.lit(i).alias("position"), F.lit(c).alias("column"), F.lit(t).alias("type")) for i, (c, t) in enumerate(df.dtypes)]
     kinds = df.sparkSession.range(0, 1, 1, 1).select(F.inline(F.array(*types)))
@@ -117,6 +118,7 @@ def iqr_bounds(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def iqr_outliers(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Fences, number, share and range of the outliers of each numeric column."""
+    df = without_nan(df)
     columns = columns or numeric_columns(df)
     if not columns:
         return df.sparkSession.createDataFrame(
@@ -184,6 +186,7 @@ def _issue(df: DataFrame, issue: str, column: Column, severity: Column, detail:
 def quality_issues(df: DataFrame) -> DataFrame:
     """One row per issue: (issue, column_name, severity, detail_value, impact).
     The impact is what the issue takes off a score of 100."""
+    df = without_nan(df)
     texts, numbers = text_columns(df), numeric_columns(df)
     whole = F.lit(None)
     found = []
@@ -237,6 +240,7 @@ def quality_score(df: DataFrame) -> DataFrame:
 def improvement_plan(df: DataFrame) -> DataFrame:
     """(column_name, problem, action) rows; the action names an operator of
     the cleaning module."""
+    df = without_nan(df)
     texts, numbers = text_columns(df), numeric_columns(df)
     columns = df.columns
     rows = total_of(df, F.count("*"))

@@ -56,7 +56,7 @@ def _report(spark, folder):
 def _stream(spark, folder):
     schema = read_table(spark, folder, "events").schema
     events = stream.event_stream(spark, folder, schema, "events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
-    results = stream.run_to_table(stream.windowed_results(tracked(events, EXPERIMENTS[:1])))
+    results = stream.run_to_table(stream.windowed_results(tracked(events, EXPERIMENTS)))
     day = F.col("window_start").cast("date").alias("day")
     return rounded(results.select(day, "experiment", "variant", "users", "conversions", "total_value"), 4)
 
@@ -123,6 +123,6 @@ PLANS = {
     "conversions_stream": Plan(
         _stream,
         f"""SELECT CAST(ts AS DATE) AS day, experiment, variant, count(*) AS users, count(*) FILTER (WHERE converted) AS conversions,
-        round(CAST(sum(CAST("value" AS DECIMAL(28,6))) AS DOUBLE), 4) AS total_value FROM ({tracked_sql(EXPERIMENTS[:1])}) GROUP BY ALL""",
+        round(CAST(sum(CAST("value" AS DECIMAL(28,6))) AS DOUBLE), 4) AS total_value FROM ({tracked_sql(EXPERIMENTS)}) GROUP BY ALL""",
     ),
 }

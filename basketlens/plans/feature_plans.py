@@ -115,10 +115,6 @@ def _lifetime(ds):
     return found.withColumns({c: F.col(c).cast("date") for c in ("first_purchase", "last_purchase")})
 
 
-def _wide_affinity(ds):
-    return features.category_affinity_wide(ds, [f"Brand#{i}" for i in range(1, 26)])
-
-
 def _matrix_sql() -> str:
     cells = ", ".join(
         f"""round(max(100.0 * customers / size) FILTER (WHERE period = {p}), 6) AS "{p}" """ for p in range(12)
@@ -161,7 +157,7 @@ PLANS = {
     ),
     "category_affinity": Plan(retail(features.category_affinity), sql(AFFINITY)),
     "category_affinity_wide": Plan(
-        retail(_wide_affinity),
+        retail(features.category_affinity_wide),
         sql("SELECT customer_unique_id, "
             + ", ".join(f"""CAST(coalesce(max(purchase_count) FILTER (WHERE category = 'Brand#{i}'), 0) AS BIGINT) AS "Brand#{i}" """ for i in range(1, 26))
             + " FROM affinity GROUP BY 1", affinity=AFFINITY),

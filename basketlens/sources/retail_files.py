@@ -73,7 +73,7 @@ def _read(spark: SparkSession, path: str, schema: T.StructType, fmt: str) -> Dat
     try:
         if fmt == "csv":
             # quoted review texts span lines and double their quotes
-            return reader.csv(path, header=True, enforceSchema=False, multiLine="reviews" in path, escape='"')
+            return reader.csv(path, header=True, enforceSchema=False, multiLine="reviews" in path.rsplit("/", 1)[-1], escape='"')
         return reader.format(fmt).load(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":

@@ -21,10 +21,10 @@ def windowed_results(conversions: DataFrame, window: str = "1 day", late: str =
     """Tracked rows, conversions and value per window, experiment and variant.
 
     ``conversions`` is a stream of (event_id, ts, experiment, variant,
-    converted, value).  An event delivered twice counts once; events later
+    converted, value).  An event delivered twice counts once in each experiment; events later
     than ``late`` are dropped with the state of their window.
     """
-    unique = conversions.withWatermark("ts", late).dropDuplicatesWithinWatermark(["event_id"])
+    unique = conversions.withWatermark("ts", late).dropDuplicatesWithinWatermark(["event_id", "experiment"])
     return unique.groupBy(F.window("ts", window).alias("w"), "experiment", "variant").agg(
         F.count("*").alias("users"),
         F.count_if("converted").alias("conversions"),
