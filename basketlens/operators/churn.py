@@ -83,6 +83,35 @@ def churn_dataset_last_order(ds: Dataset, window_days: int = 90) -> DataFrame:
     ).withColumn("churn", (F.col("days_since_last") > window_days).cast("int"))
 
 
+def churn_features(ds: Dataset) -> DataFrame:
+    """The features of ``churn_dataset_last_order`` over all orders of every
+    person, for scoring: days since the last order, and gaps between all."""
+    ts = F.col("order_purchase_timestamp")
+    dated = ds.with_tables(orders=ds.orders.filter(ts.isNotNull()))
+    totals = orders_by_person(
+        dated,
+        ("frequency", F.count("*"), "sum"),
+        ("valued", F.count("order_value"), "sum"),
+        ("value", F.sum("order_value"), "sum"),
+        ("last", F.max(ts), "max"),
+    )
+    gaps = order_gaps(dated).groupBy(PERSON).agg(
+        F.sum("gap_days").cast("double").alias("days"),
+        F.sum(F.col("gap_days") * F.col("gap_days")).cast("double").alias("squares"),
+    )
+    n, days = F.col("frequency") - 1, F.coalesce("days", F.lit(0.0))
+    variance = (F.coalesce("squares", F.lit(0.0)) - days * days / n) / (n - 1)
+    return totals.join(gaps, PERSON, "left").select(
+        PERSON,
+        whole_days(F.col("last"), total_of(dated.orders, F.max(ts))).cast("long").alias("recency_days"),
+        "frequency",
+        F.coalesce("value", F.lit(0)).cast("double").alias("monetary"),
+        F.coalesce(ratio(F.col("value"), F.col("valued")), F.lit(0.0)).alias("avg_order_value"),
+        F.when(n >= 1, days / n).otherwise(0.0).alias("avg_days_between_orders"),
+        F.when(n >= 2, F.sqrt(F.greatest(variance, F.lit(0.0)))).otherwise(0.0).alias("std_days_between_orders"),
+    )
+
+
 def churn_dataset_rfm(ds: Dataset, window_days: int = 90) -> DataFrame:
     """Everybody: scores, lifetime and variety, and whether the last order
     lies more than ``window_days`` before the end of the data."""

@@ -31,7 +31,7 @@ from basketlens.functions.ordering import rank_in_group, running_totals
 from basketlens.functions.scalars import quoted, ratio, total_of
 from basketlens.functions.joins import estimated_bytes
 from basketlens.functions.shared_tables import written_table
-from basketlens.operators.churn import LAST_ORDER_FEATURES, churn_dataset_last_order
+from basketlens.operators.churn import LAST_ORDER_FEATURES, churn_dataset_last_order, churn_features
 from basketlens.operators.cleaning import standard_scale
 from basketlens.operators.features import PERSON, rfm_segments
 from basketlens.operators.kpis import column_moments, correlations
@@ -256,10 +256,11 @@ def score_churn(model: PipelineModel, data: DataFrame, segments: DataFrame) -> D
 
 
 def score_all_customers(ds: Dataset, estimator: Estimator | None = None, window_days: int = 90) -> DataFrame:
-    """Train on the data set and score everybody in it."""
+    """Train on people with two or more orders, and score everybody, people
+    with one order too, by the features of all their orders."""
     data = written_table(churn_dataset_last_order(ds, window_days), "churn-data")
     model, _ = train_churn(data, estimator=estimator)
-    return score_churn(model, data, rfm_segments(ds))
+    return score_churn(model, churn_features(ds), rfm_segments(ds))
 
 
 def at_risk_customers(scores: DataFrame, threshold: float = 0.6, n: int = 100) -> DataFrame:
