@@ -46,7 +46,7 @@ def rake(tokens: np.ndarray, places: list[np.ndarray], targets: list[np.ndarray]
     for _ in range(rounds):
         before = weights
         for place, share in zip(places, targets):
-            now = np.bincount(place, weights, len(share))
+            now = np.bincount(place, weights, len(share)).astype(float)
             factors = np.divide(share * budget, now, out=np.ones_like(now), where=now > 0)
             weights = np.minimum(weights * factors[place], tokens)
         if np.abs(weights - before).max(initial=0.0) <= close * max(budget, 1.0):

@@ -213,5 +213,5 @@ def fetch(shards: DataFrame, keys: list[int], most: int = 1000) -> DataFrame:
 
     inside = F.lit(False)
     for key in wanted.tolist():
-        inside = inside | F.lit(key).between(F.col("first_key"), F.col("last_key"))
+        inside = inside | F.lit(key).between(F.coalesce("first_key", F.lit(NO_KEY)), F.col("last_key"))
     return shards.filter(inside).mapInArrow(read, "doc_id long, ids array<long>")
