@@ -49,14 +49,21 @@ def global_rank(df: DataFrame, order: Sequence[Column], name: str = "rank") -> D
 
 
 def rank_in_group(df: DataFrame, group: str, order: Sequence[Column], name: str = "rank") -> DataFrame:
-    """1-based position within ``group``; a group may span many tasks."""
-    ranked = global_rank(df, [F.col(group), *order], "_global")
-    first = ranked.groupBy(group).agg(F.min("_global").alias("_first"))
+    """1-based position within ``group``; a group may span many tasks.
+
+    Each partition and group has a row that says where the group starts
+    there and how much of it came before, so rows meet it by partition and
+    group, never by group alone.
+    """
+    table = _range_sorted(df, [F.col(group), *order], "rank")
+    parts = table.groupBy("_part", F.col(group).alias("_group")).agg(F.min("_pos").alias("_first"), F.count("*").alias("_n"))
+    # at most one row per partition
+    before = W.partitionBy("_group").orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    starts = parts.select(F.col("_part").alias("_of"), "_group", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
     return (
-        ranked.join(first, ranked[group].eqNullSafe(first[group]), "inner")
-        .drop(first[group])
-        .withColumn(name, F.col("_global") - F.col("_first") + 1)
-        .drop("_global", "_first")
+        table.join(starts, (F.col("_part") == F.col("_of")) & F.col(group).eqNullSafe(F.col("_group")))
+        .withColumn(name, F.col("_pos") + F.col("_shift") + 1)
+        .drop("_part", "_pos", "_of", "_group", "_shift")
     )
 
 

@@ -112,9 +112,27 @@ def churn_features(ds: Dataset) -> DataFrame:
     )
 
 
+def churn_dataset_ahead(ds: Dataset, window_days: int = 90) -> DataFrame:
+    """Scores, lifetime and variety by the orders up to ``window_days`` before
+    the end of the data, and whether the person ordered nothing after that.
+
+    The label is no function of a feature, as it is in
+    ``churn_dataset_rfm``, so models that learn from this predict."""
+    ts = F.col("order_purchase_timestamp")
+    cut = total_of(ds.orders, F.max(ts)) - F.make_dt_interval(F.lit(window_days))
+    past, later = (ds.with_tables(orders=ds.orders.filter(side)) for side in (ts <= cut, ts > cut))
+    came_back = orders_by_person(later, ("later_orders", F.count("*"), "sum"))
+    features = churn_dataset_rfm(past, window_days).drop("churned")
+    labelled = features.join(came_back.select(PERSON, "later_orders"), PERSON, "left")
+    return labelled.withColumn("churned", F.col("later_orders").isNull().cast("int")).drop("later_orders")
+
+
 def churn_dataset_rfm(ds: Dataset, window_days: int = 90) -> DataFrame:
     """Everybody: scores, lifetime and variety, and whether the last order
-    lies more than ``window_days`` before the end of the data."""
+    lies more than ``window_days`` before the end of the data.
+
+    As published, where the label follows from ``recency_days``; learn from
+    ``churn_dataset_ahead`` instead."""
     scores = rfm_scores(ds)
     life = customer_lifetime(ds)
     end = total_of(ds.orders, F.max("order_purchase_timestamp"))

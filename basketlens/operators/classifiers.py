@@ -29,7 +29,6 @@ from pyspark.sql import functions as F
 from basketlens.dataset import Dataset
 from basketlens.functions.ordering import rank_in_group, running_totals
 from basketlens.functions.scalars import quoted, ratio, total_of
-from basketlens.functions.joins import estimated_bytes
 from basketlens.functions.shared_tables import written_table
 from basketlens.operators.churn import LAST_ORDER_FEATURES, churn_dataset_last_order, churn_features
 from basketlens.operators.cleaning import standard_scale
@@ -41,7 +40,9 @@ SEED = 42
 RISK_LEVELS = [(0.3, "Low"), (0.6, "Medium")]  # fixed values: upper limits
 HIGH_RISK = "High"
 CONCURRENT_FITS = 8
-TRAINING_PARTITION_BYTES = 32 << 20
+#: Setting with the number of partitions to learn from; hundreds of short jobs
+#: run over them, so raise it with the number of people, not with the cluster.
+TRAINING_PARTITIONS, DEFAULT_TRAINING_PARTITIONS = "spark.basketlens.trainingPartitions", "8"
 
 
 # --- measures ------------------------------------------------------------------
@@ -184,11 +185,13 @@ def classifiers(label: str) -> dict[str, Estimator]:
     }
 
 
-def right_sized(df: DataFrame) -> DataFrame:
-    """No more partitions than the size asks for.  A learner runs hundreds of
-    short jobs, and on a small table the number of tasks is all they cost."""
-    wanted = max(1, estimated_bytes(df) // TRAINING_PARTITION_BYTES)
-    return df.coalesce(int(wanted))
+def right_sized(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """The rows dealt by person over a fixed number of partitions, in order.
+    Learners bag and sum per partition, so what they fit depends on the
+    number that is set (``spark.basketlens.trainingPartitions``) and not on
+    the size of files."""
+    partitions = partitions or int(df.sparkSession.conf.get(TRAINING_PARTITIONS, DEFAULT_TRAINING_PARTITIONS))
+    return df.repartition(partitions, PERSON).sortWithinPartitions(PERSON)
 
 
 def with_vector(estimator: Estimator, features: list[str]) -> Pipeline:

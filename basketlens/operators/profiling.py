@@ -185,7 +185,8 @@ def _issue(df: DataFrame, issue: str, column: Column, severity: Column, detail:
 
 def quality_issues(df: DataFrame) -> DataFrame:
     """One row per issue: (issue, column_name, severity, detail_value, impact).
-    The impact is what the issue takes off a score of 100."""
+    The impact is what the issue takes off a score of 100; names, severities
+    and limits of impact are fixed values."""
     df = without_nan(df)
     texts, numbers = text_columns(df), numeric_columns(df)
     whole = F.lit(None)

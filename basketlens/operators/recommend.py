@@ -3,7 +3,8 @@ co-purchase, hybrid, category-aware and ensemble."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from basketlens.dataset import Dataset
 from basketlens.functions.joins import lookup
-from basketlens.functions.ordering import rank_in_group, top_per_group
+from basketlens.functions.ordering import global_rank, rank_in_group, top_per_group
 from basketlens.functions.scalars import ratio, total_of, whole_days
 from basketlens.functions.shared_tables import written_table
 from basketlens.operators.baskets import BIG_BASKET, basket_lines, pair_counts
@@ -51,25 +52,28 @@ def copurchase_pairs(ds: Dataset, min_support: int = 5, big_basket: int = BIG_BA
     )
 
 
-@dataclass(frozen=True)
 class Recommender:
     """A fitted recommender: two tables.
 
     popularity: product_id, category, purchase_count, list_id, rank
-    pairs: product_id_1, product_id_2, co_purchase_count
+    pairs: product_id_1, product_id_2, co_purchase_count; a function that
+    makes them is called when they are first read
     """
 
-    popularity: DataFrame
-    pairs: DataFrame
+    def __init__(self, popularity: DataFrame, pairs: DataFrame | Callable[[], DataFrame]):
+        self.popularity = popularity
+        self._pairs = pairs
+
+    @cached_property
+    def pairs(self) -> DataFrame:
+        return self._pairs if isinstance(self._pairs, DataFrame) else self._pairs()
 
     @staticmethod
     def fit(ds: Dataset, min_support: int = 5) -> "Recommender":
-        listed = popularity(ds).withColumn("list_id", F.lit(EVERYTHING))
+        """Pairs are mined only for methods that read them."""
         order = [F.desc("purchase_count"), F.asc("product_id")]
-        return Recommender(
-            popularity=written_table(rank_in_group(listed, "list_id", order), "popularity"),
-            pairs=written_table(copurchase_pairs(ds, min_support), "pairs"),
-        )
+        ranked = global_rank(popularity(ds), order).withColumn("list_id", F.lit(EVERYTHING))
+        return Recommender(written_table(ranked, "popularity"), lambda: written_table(copurchase_pairs(ds, min_support), "pairs"))
 
     def save(self, path: str) -> None:
         save_model({"popularity": self.popularity, "pairs": self.pairs}, path)
@@ -142,12 +146,29 @@ def _result(recs: DataFrame) -> DataFrame:
     )
 
 
-def recommend_popular(model: Recommender, ds: Dataset, people: DataFrame | None = None, k: int = 5) -> DataFrame:
+class History:
+    """What people bought, and their best ``k`` products by co-purchase:
+    written when first read, and shared by the methods that get it."""
+
+    def __init__(self, model: Recommender, ds: Dataset, k: int = 5):
+        self._model, self._ds, self._k = model, ds, k
+
+    @cached_property
+    def bought(self) -> DataFrame:
+        return written_table(bought_products(self._ds), "bought")
+
+    @cached_property
+    def copurchase(self) -> tuple[DataFrame, DataFrame]:
+        best, paired = copurchase_scores(self.bought, self._model.pairs, self._k)
+        return written_table(best, "best"), paired
+
+
+def recommend_popular(model: Recommender, ds: Dataset, people: DataFrame | None = None, k: int = 5, history: History | None = None) -> DataFrame:
     """The most bought products the customer has not bought yet."""
     wants = (people if people is not None else all_people(ds)).select("who").withColumns(
         {"list_id": F.lit(EVERYTHING), "need": F.lit(k)}
     )
-    excluded = written_table(bought_products(ds), "bought").withColumn("list_id", F.lit(EVERYTHING))
+    excluded = (history or History(model, ds, k)).bought.withColumn("list_id", F.lit(EVERYTHING))
     found = first_unlisted(model.popularity, wants, excluded, k)
     scored = found.select("who", "product_id", F.col("purchase_count").alias("score"))
     return _result(_numbered(scored, k).withColumn("method", F.lit("popularity")))
@@ -224,22 +245,23 @@ def copurchase_scores(
     return best, own.select("who").unionByName(list_of.select("who")).distinct()
 
 
-def recommend_copurchase(model: Recommender, ds: Dataset, people: DataFrame | None = None, k: int = 5) -> DataFrame:
+def recommend_copurchase(model: Recommender, ds: Dataset, people: DataFrame | None = None, k: int = 5, history: History | None = None) -> DataFrame:
     """Partners of the customer's products by summed pair counts; customers
     without any pair get popular products."""
     people = (people if people is not None else all_people(ds)).select("who")
-    best, paired = copurchase_scores(written_table(bought_products(ds), "bought"), model.pairs, k)
+    history = history or History(model, ds, k)
+    best, paired = history.copurchase
     found = best.join(people, "who", "left_semi").withColumn("method", F.lit("copurchase"))
     ranked = top_per_group(found, ["who"], [F.desc("score"), F.asc("product_id")], k)
-    others = recommend_popular(model, ds, people.join(paired, "who", "left_anti"), k)
+    others = recommend_popular(model, ds, people.join(paired, "who", "left_anti"), k, history)
     return _result(ranked).unionByName(others)
 
 
-def recommend_hybrid(model: Recommender, ds: Dataset, people: DataFrame | None = None, k: int = 5) -> DataFrame:
+def recommend_hybrid(model: Recommender, ds: Dataset, people: DataFrame | None = None, k: int = 5, history: History | None = None) -> DataFrame:
     """Co-purchase first, filled up with popular products."""
     people = (people if people is not None else all_people(ds)).select("who")
-    bought = written_table(bought_products(ds), "bought")
-    best, _ = copurchase_scores(bought, model.pairs, k)
+    history = history or History(model, ds, k)
+    bought, (best, _) = history.bought, history.copurchase
     found = written_table(
         _numbered(best.join(people, "who", "left_semi"), k).withColumn("method", F.lit("copurchase")), "hybrid"
     )
@@ -264,14 +286,15 @@ METHODS = {"popularity": recommend_popular, "copurchase": recommend_copurchase,
 
 
 def recommend(
-    model: Recommender, ds: Dataset, method: str = "hybrid", people: DataFrame | None = None, k: int = 5
+    model: Recommender, ds: Dataset, method: str = "hybrid", people: DataFrame | None = None, k: int = 5, history: History | None = None
 ) -> DataFrame:
-    """Recommendations by a named method, 1 to 50 per customer."""
+    """Recommendations by a named method, 1 to 50 per customer.  A
+    ``history`` of the same model, data and k saves work for several methods."""
     if method not in METHODS:
         raise ValueError(f"unknown method: {method}")
     if not 1 <= k <= MAX_K:
         raise ValueError(f"k must be between 1 and {MAX_K}")
-    return METHODS[method](model, ds, people, k)
+    return METHODS[method](model, ds, people, k, history)
 
 
 def category_lists(ds: Dataset) -> DataFrame:
@@ -327,6 +350,7 @@ def explain_recommendation(ds: Dataset, requests: DataFrame) -> DataFrame:
         F.col("customer_unique_id").alias("who"), "category"
     ).agg(F.sum("n").alias("in_category"))
     facts = asked.join(own, ["who", "category"], "left")
+    # The texts of the reasons.
     popular = F.when(
         F.col("popularity") > POPULAR_ABOVE, F.concat(F.lit("Popular product ("), F.col("popularity"), F.lit(" purchases)"))
     )
@@ -366,8 +390,8 @@ def user_item_interactions(ds: Dataset) -> DataFrame:
 
     def index(column: str, name: str) -> DataFrame:
         # one row per key: numbered by a distributed rank, not on the driver
-        keys = found.select(F.col(column)).distinct().withColumn("_all", F.lit(0))
-        return rank_in_group(keys, "_all", [F.asc(column)]).select(column, (F.col("rank") - 1).alias(name))
+        keys = found.select(F.col(column)).distinct()
+        return global_rank(keys, [F.asc(column)]).select(column, (F.col("rank") - 1).alias(name))
 
     indexed = lookup(found, index("customer_unique_id", "user_index"), "customer_unique_id", "inner")
     return lookup(indexed, index("product_id", "item_index"), "product_id", "inner").select(

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
+from basketlens.functions.shared_tables import written_table
 from basketlens.operators import churn, classifiers
-from basketlens.plans.base import Plan, retail, rounded, sql
+from basketlens.plans.base import TABLES, Plan, retail, rounded, sql
 from basketlens.plans.feature_plans import AFFINITY, LIFETIME, ORDER_VALUES, SCORE_CTES
 from basketlens.sources.star_schema import load_star_schema, read_table
 
@@ -28,6 +29,9 @@ CHURN_RFM = f"""SELECT t.*, customer_lifetime_days, avg_days_between_orders, uni
     FROM totals t JOIN lifetime USING (customer_unique_id)"""
 
 
+CUT = f"(SELECT max(o_orderdate) - INTERVAL {WINDOW} DAY FROM orders)"
+
+
 def _events(spark, folder):
     events = read_table(spark, folder, "events")
     return events.select("event_id", (F.col("event_type") == "purchase").cast("int").alias("label"), F.col("value").alias("score"))
@@ -105,23 +109,24 @@ def _at_risk(spark, folder):
     return classifiers.at_risk_customers(_score(spark, folder))
 
 
-def _rfm_data(spark, folder):
-    return churn.churn_dataset_rfm(load_star_schema(spark, folder), WINDOW)
+def _ahead_data(spark, folder):
+    """Written once: every learner and fold reads it."""
+    return written_table(churn.churn_dataset_ahead(load_star_schema(spark, folder), WINDOW), "churn-ahead")
 
 
 def _compare(spark, folder):
-    return rounded(classifiers.compare_models(_rfm_data(spark, folder), churn.RFM_FEATURES, "churned"))
+    return rounded(classifiers.compare_models(_ahead_data(spark, folder), churn.RFM_FEATURES, "churned"))
 
 
 def _cross_validate(spark, folder):
     learner = LogisticRegression(labelCol="churned", maxIter=100)
-    return rounded(classifiers.cross_validation_table(_rfm_data(spark, folder), churn.RFM_FEATURES, "churned", learner))
+    return rounded(classifiers.cross_validation_table(_ahead_data(spark, folder), churn.RFM_FEATURES, "churned", learner))
 
 
 def _tune(spark, folder):
     learner = LogisticRegression(labelCol="churned", maxIter=50)
     space = {"regParam": [0.0, 0.01, 0.1, 1.0], "elasticNetParam": [0.0, 0.5, 1.0]}
-    return rounded(classifiers.tune_model(_rfm_data(spark, folder), churn.RFM_FEATURES, "churned", learner, space))
+    return rounded(classifiers.tune_model(_ahead_data(spark, folder), churn.RFM_FEATURES, "churned", learner, space))
 
 
 PLANS = {
@@ -135,6 +140,14 @@ PLANS = {
         sql(f"""SELECT * REPLACE (round(monetary, 6) AS monetary, round(avg_days_between_orders, 6) AS avg_days_between_orders)
             FROM ({CHURN_RFM})""", **SCORE_CTES, affinity=AFFINITY, lifetime=LIFETIME),
     ),
+    "churn_dataset_ahead": Plan(
+        retail(lambda ds: churn.churn_dataset_ahead(ds, WINDOW)),
+        sql(f"""SELECT t.* REPLACE (round(monetary, 6) AS monetary), customer_lifetime_days,
+            round(avg_days_between_orders, 6) AS avg_days_between_orders, unique_categories_purchased,
+            CAST(customer_unique_id NOT IN (SELECT o_custkey FROM orders WHERE o_orderdate > {CUT}) AS INTEGER) AS churned
+            FROM totals t JOIN lifetime USING (customer_unique_id)""",
+            d_orders=f"SELECT * FROM ({TABLES['d_orders']}) WHERE ts <= {CUT}", **SCORE_CTES, affinity=AFFINITY, lifetime=LIFETIME),
+    ),
     "classification_metrics": Plan(
         lambda spark, folder: rounded(classifiers.classification_metrics(_labels(spark, folder), "label", "guess")),
         sql(METRICS, g="SELECT quality AS label, 1 - toxic AS guess FROM labels"),

@@ -39,6 +39,7 @@ HEADLINE = [
     "evaluate_methods",
     "churn_dataset_last_order",
     "churn_dataset_rfm",
+    "compare_models",
     "profile_columns",
     "iqr_outliers",
     "quality_score",
