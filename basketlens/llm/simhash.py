@@ -18,9 +18,12 @@ from pyspark.sql import functions as F
 
 from basketlens.functions.shared_tables import written_table
 from basketlens.llm.components import components
+from basketlens.llm.rolling import mixed
 
 #: Fingerprints that have their home in one shard, about.
 SHARD_SIZE = 16_384
+#: The same where there are several words: fewer visits for larger shards.
+SHARD_SIZE_OF_WORDS = 131_072
 #: Shards of a part, and fingerprints sampled to place their bounds.
 MOST_SHARDS = 4_096
 SAMPLED_PER_SHARD = 16
@@ -42,14 +45,17 @@ def fingerprint_of(hashes: np.ndarray, firsts: np.ndarray, counts: np.ndarray) -
     return result
 
 
-def fingerprints_of_texts(texts: list[str | None], shingle: int) -> np.ndarray:
+def fingerprints_of_texts(texts: list[str | None], shingle: int, per_text: int = 1) -> np.ndarray:
+    """A row for each text with ``per_text`` fingerprints: the first of the
+    hashes themselves, the others of what ``mixed`` makes of them."""
     from xxhash import xxh64_digest
 
     found, digests, counts, held = [], [], [], 0
 
     def close():
-        sizes = np.array(counts, np.int64)
-        found.append(fingerprint_of(np.frombuffer(b"".join(digests), ">u8"), np.cumsum(sizes) - sizes, sizes))
+        sizes, hashes = np.array(counts, np.int64), np.frombuffer(b"".join(digests), ">u8").astype(np.uint64)
+        each = [hashes, *(mixed(hashes + np.uint64(k)) for k in range(1, per_text))]
+        found.append(np.stack([fingerprint_of(h, np.cumsum(sizes) - sizes, sizes) for h in each], axis=1))
 
     for text in texts:
         words = (text or "").encode().translate(_LOWER).split()  # at 0x20 and 0x09 to 0x0D
@@ -73,16 +79,19 @@ def fingerprints_of_texts(texts: list[str | None], shingle: int) -> np.ndarray:
     return np.concatenate(found)
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """(doc_id, fingerprint as a long).  Null texts and texts without a word
-    have fingerprint zero; shorter texts are one shingle."""
+def fingerprints(docs: DataFrame, shingle: int = 3, words: int = 1) -> DataFrame:
+    """(doc_id, fingerprint as a long, or as an array of ``words`` longs).
+    Null texts and texts without a word have fingerprint zero; shorter texts
+    are one shingle."""
 
     def compute(batches):
         for batch in batches:
-            made = fingerprints_of_texts(batch.column(1).to_pylist(), shingle)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made.view(np.int64))], names=["doc_id", "fp"])
+            made = fingerprints_of_texts(batch.column(1).to_pylist(), shingle, words).view(np.int64)
+            column = pa.array(made[:, 0]) if words == 1 else pa.array(made.tolist(), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), column], names=["doc_id", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(compute, "doc_id long, fp long")
+    kind = "long" if words == 1 else "array<long>"
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(compute, f"doc_id long, fp {kind}")
 
 
 def parts_for(bits: int) -> int:
@@ -207,17 +216,19 @@ def shard_groups(fps: np.ndarray, home: np.ndarray, part: int, bits: int) -> np.
     return groups.roots
 
 
-def fingerprint_links(distinct: DataFrame, bits: int = 3, shard_size: int = SHARD_SIZE) -> DataFrame:
-    """Links a - b between the ``node`` values of fingerprints ``fp`` at
-    ``bits`` or fewer differing bits.  Of a linked set within one shard it
+def fingerprint_links(distinct: DataFrame, bits: int = 3, shard_size: int = SHARD_SIZE, words: int = 1) -> DataFrame:
+    """Links a - b between the ``node`` values of fingerprints ``fp`` of the
+    same ``word`` (0 to ``words`` - 1) at ``bits`` or fewer differing bits.  Of a linked set within one shard it
     gives a star, not all pairs, so that components are whole and a large
     group of near copies stays linear.
 
     The upper levels come from at most ``MOST_SHARDS * SAMPLED_PER_SHARD``
     fingerprints; any sample gives right results, it only balances shards.
     """
+    if "word" not in distinct.columns:
+        distinct = distinct.withColumn("word", F.lit(0))
     count = distinct.count()
-    shards = max(1, min(MOST_SHARDS, -(-count // shard_size)))
+    shards = max(1, min(MOST_SHARDS, -(-count // (words * shard_size))))
     sample = distinct.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(shards * SAMPLED_PER_SHARD)
     sampled = np.array([r["fp"] for r in sample.collect()], np.int64).view(np.uint64)
     parts = parts_for(bits)
@@ -225,43 +236,58 @@ def fingerprint_links(distinct: DataFrame, bits: int = 3, shard_size: int = SHAR
 
     def route(batches):
         for batch in batches:
-            fps, nodes = batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy()
+            fps, nodes, word = batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy(), batch.column(2).to_numpy()
             for part, tree in enumerate(trees):
                 for shard, who, home in routed(_part(fps, part, parts), tree, bits // parts):
-                    place = np.full(len(who), shard * parts + part, np.int32)
+                    place = ((shard * parts + part) * words + word[who]).astype(np.int32)
                     columns = [place, fps[who].view(np.int64), nodes[who], home]
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["shard", "fp", "node", "home"])
 
     def link(key: tuple, table: pa.Table) -> pa.Table:
         fps = table["fp"].to_numpy().view(np.uint64)
         nodes = table["node"].to_numpy()
-        roots = shard_groups(fps, table["home"].to_numpy(), key[0].as_py() % parts, bits)
+        roots = shard_groups(fps, table["home"].to_numpy(), key[0].as_py() // words % parts, bits)
         linked = np.flatnonzero(roots != np.arange(len(roots)))
         return pa.table({"a": nodes[linked], "b": nodes[roots[linked]]})
 
-    places = distinct.select("fp", "node").mapInArrow(route, "shard int, fp long, node long, home boolean")
+    places = distinct.select("fp", "node", "word").mapInArrow(route, "shard int, fp long, node long, home boolean")
     return places.groupBy("shard").applyInArrow(link, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, bits: int = 3, shingle: int = 3) -> DataFrame:
+def _links_of_words(distinct: DataFrame, bits: int, words: int) -> DataFrame:
+    """Links between nodes that any word of their fingerprints links.  Nodes
+    that share a word whole are linked to its smallest before the search."""
+    each = distinct.select("node", F.posexplode("fp").alias("word", "fp"))
+    firsts = written_table(each.groupBy("word", "fp").agg(F.min("node").alias("node")), "words")
+    same = each.join(firsts.withColumnRenamed("node", "b"), ["word", "fp"]).filter("node <> b")
+    found = fingerprint_links(firsts, bits, SHARD_SIZE_OF_WORDS, words)
+    return found.unionByName(same.select(F.col("node").alias("a"), "b").distinct())
+
+
+def near_duplicates(docs: DataFrame, bits: int = 3, shingle: int = 3, words: int = 1) -> DataFrame:
     """(doc_id, fingerprint, component_id): ``component_id`` is the smallest
     doc_id that links of ``bits`` or fewer differing bits reach.
 
+    With more ``words``, texts have as many independent fingerprints, of
+    which one is enough for a link: copies that one misses by chance are
+    found by another.  ``fingerprint`` is the first.
+
     Texts without a word (null ones too) share fingerprint zero.  Rows
     without doc_id get no component and link nothing.  Repeated rows stay; a
     doc_id with several texts links them.  Only ``doc_id`` and ``text`` are
     read; an empty table gives an empty result.
     """
-    fps = written_table(fingerprints(docs, shingle), "fingerprints")
+    fps = written_table(fingerprints(docs, shingle, words), "fingerprints")
     distinct = written_table(fps.filter("doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("node")), "distinct")
     shared = fps.filter("doc_id IS NOT NULL").join(distinct, "fp").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
     repeated = shared.groupBy("a").agg(F.min("b").alias("least"), F.max("b").alias("most")).filter("least <> most")
     repeated = shared.join(repeated.select("a"), "a", "left_semi").distinct()
-    linked = components(fingerprint_links(distinct, bits).unionByName(repeated))
+    links = fingerprint_links(distinct, bits) if words == 1 else _links_of_words(distinct, bits, words)
+    linked = components(links.unionByName(repeated))
     classes = distinct.join(linked, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
     labelled = fps.join(classes, "fp", "left")
     return labelled.select(
         "doc_id",
-        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        F.lower(F.lpad(F.hex(F.col("fp") if words == 1 else F.col("fp")[0]), 16, "0")).alias("fingerprint"),
         F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"),
     )

@@ -102,25 +102,32 @@ def test_suffix_order_and_matches():
         assert flags[start : start + len(s)].tolist() == want
 
 
-@pytest.mark.parametrize("bits,shingle", [(3, 3), (7, 5)])
-def test_simhash_equals_brute_force(docs, plain, nothing, bits, shingle):
+def _split_mixed(x: int) -> int:
+    x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 % 2**64
+    x = (x ^ x >> 27) * 0x94D049BB133111EB % 2**64
+    return x ^ x >> 31
+
+
+@pytest.mark.parametrize("bits,shingle,count", [(3, 3, 1), (7, 5, 1), (7, 5, 8)])
+def test_simhash_equals_brute_force(docs, plain, nothing, bits, shingle, count):
     prints = []
     for _, text in plain:
         words = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text))
         runs = [" ".join(words[j : j + shingle]) for j in range(max(1, len(words) - shingle + 1))] if words else []
         hashes = [xxhash.xxh64_intdigest(r.encode(), 42) for r in runs]
-        prints.append(sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes)))
+        each = [hashes, *([_split_mixed((h + k) % 2**64) for h in hashes] for k in range(1, count))]
+        prints.append([sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hs) > len(hs)) for hs in each])
     known = [k for k, (i, _) in enumerate(plain) if i is not None]
     fps, ids = np.array(prints, np.uint64), np.array([-1 if i is None else i for i, _ in plain])
-    near = (np.bitwise_count(fps[known][:, None] ^ fps[known][None, :]) <= bits) | (ids[known][:, None] == ids[known][None, :])
+    near = (np.bitwise_count(fps[known][:, None] ^ fps[known][None, :]) <= bits).any(axis=2) | (ids[known][:, None] == ids[known][None, :])
     label = ids[known]
     while (new := np.array([label[row].min() for row in near])).tolist() != label.tolist():
         label = new
     want = collections.Counter({})
-    want.update((int(ids[k]), f"{prints[k]:016x}", int(c)) for k, c in zip(known, label))
-    want.update((None, f"{prints[k]:016x}", None) for k in range(len(plain)) if k not in known)
-    assert by_id(simhash.near_duplicates(docs, bits, shingle)) == want
-    assert simhash.near_duplicates(nothing).isEmpty()
+    want.update((int(ids[k]), f"{prints[k][0]:016x}", int(c)) for k, c in zip(known, label))
+    want.update((None, f"{prints[k][0]:016x}", None) for k in range(len(plain)) if k not in known)
+    assert by_id(simhash.near_duplicates(docs, bits, shingle, count)) == want
+    assert simhash.near_duplicates(nothing, words=count).isEmpty()
 
 
 @pytest.mark.parametrize("bits", [3, 7])
