@@ -11,6 +11,8 @@ compares whole fingerprints in the leaves.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -45,36 +47,41 @@ def fingerprint_of(hashes: np.ndarray, firsts: np.ndarray, counts: np.ndarray) -
     return result
 
 
-def fingerprints_of_texts(texts: list[str | None], shingle: int, per_text: int = 1) -> np.ndarray:
-    """A row for each text with ``per_text`` fingerprints: the first of the
-    hashes themselves, the others of what ``mixed`` makes of them."""
+def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
+    """XXH64 of each run of ``shingle`` words, repeats included; of the whole
+    sequence if it is shorter, of nothing if there is no word."""
     from xxhash import xxh64_digest
 
-    found, digests, counts, held = [], [], [], 0
+    words = (text or "").encode().translate(_LOWER).split()  # at 0x20 and 0x09 to 0x0D
+    line, at, ends = b" ".join(words), 0, []
+    for word in words:
+        at += len(word)
+        ends.append(at)
+        at += 1
+    starts = [0, *(e + 1 for e in ends)]
+    if len(words) >= shingle:
+        digests = [xxh64_digest(line[a:b], 42) for a, b in zip(starts, ends[shingle - 1 :])]
+    else:
+        digests = [xxh64_digest(line, 42)] if words else []
+    return np.frombuffer(b"".join(digests), ">u8").astype(np.uint64)
+
+
+def fingerprints_of_hashes(texts: Iterable[np.ndarray], per_text: int = 1) -> np.ndarray:
+    """A row for each text with ``per_text`` fingerprints: the first of the
+    hashes themselves, the others of what ``mixed`` makes of them."""
+    found, group, held = [], [], 0
 
     def close():
-        sizes, hashes = np.array(counts, np.int64), np.frombuffer(b"".join(digests), ">u8").astype(np.uint64)
+        sizes, hashes = np.array([len(h) for h in group], np.int64), np.concatenate([*group, np.empty(0, np.uint64)])
         each = [hashes, *(mixed(hashes + np.uint64(k)) for k in range(1, per_text))]
         found.append(np.stack([fingerprint_of(h, np.cumsum(sizes) - sizes, sizes) for h in each], axis=1))
 
-    for text in texts:
-        words = (text or "").encode().translate(_LOWER).split()  # at 0x20 and 0x09 to 0x0D
-        line, at, ends = b" ".join(words), 0, []
-        for word in words:
-            at += len(word)
-            ends.append(at)
-            at += 1
-        starts = [0, *(e + 1 for e in ends)]
-        if len(words) >= shingle:
-            digests.extend([xxh64_digest(line[a:b], 42) for a, b in zip(starts, ends[shingle - 1 :])])
-            counts.append(len(words) - shingle + 1)
-        else:
-            digests.extend([xxh64_digest(line, 42)] if words else [])
-            counts.append(min(1, len(words)))
-        held += counts[-1]
+    for hashes in texts:
+        group.append(hashes)
+        held += len(hashes)
         if held >= 200_000:
             close()
-            digests, counts, held = [], [], 0
+            group, held = [], 0
     close()
     return np.concatenate(found)
 
@@ -86,7 +93,8 @@ def fingerprints(docs: DataFrame, shingle: int = 3, words: int = 1) -> DataFrame
 
     def compute(batches):
         for batch in batches:
-            made = fingerprints_of_texts(batch.column(1).to_pylist(), shingle, words).view(np.int64)
+            hashes = (shingle_hashes(t, shingle) for t in batch.column(1).to_pylist())
+            made = fingerprints_of_hashes(hashes, words).view(np.int64)
             column = pa.array(made[:, 0]) if words == 1 else pa.array(made.tolist(), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([batch.column(0), column], names=["doc_id", "fp"])
 
@@ -184,12 +192,12 @@ class _Groups:
                 self.roots = jumped
 
 
-def shard_groups(fps: np.ndarray, home: np.ndarray, part: int, bits: int) -> np.ndarray:
-    """The first place of the group of each fingerprint of a shard, where
-    links go from any fingerprint to one that lives here."""
+def close_pairs(fps: np.ndarray, live: np.ndarray, ask: np.ndarray, part: int, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places (a, b) of fingerprints of a shard at ``bits`` or fewer differing
+    bits, a among ``ask`` and b among ``live``, in blocks."""
     parts = parts_for(bits)
-    groups, own_part = _Groups(len(fps)), _part(fps, part, parts)
-    todo = [(np.flatnonzero(home), np.arange(len(fps)))]
+    own_part = _part(fps, part, parts)
+    todo = [(live, ask)]
     while todo:
         live, ask = todo.pop()
         if not len(live) or not len(ask):
@@ -212,56 +220,82 @@ def shard_groups(fps: np.ndarray, home: np.ndarray, part: int, bits: int) -> np.
             for j in range(0, len(live), BLOCK):
                 a, b = ask[i : i + BLOCK], live[j : j + BLOCK]
                 x, y = np.nonzero(np.bitwise_count(fps[a][:, None] ^ fps[b][None, :]) <= bits)
-                groups.join(a[x], b[y])
-    return groups.roots
+                yield a[x], b[y]
 
 
-def fingerprint_links(distinct: DataFrame, bits: int = 3, shard_size: int = SHARD_SIZE, words: int = 1) -> DataFrame:
-    """Links a - b between the ``node`` values of fingerprints ``fp`` of the
-    same ``word`` (0 to ``words`` - 1) at ``bits`` or fewer differing bits.  Of a linked set within one shard it
-    gives a star, not all pairs, so that components are whole and a large
-    group of near copies stays linear.
+def shard_groups(fps: np.ndarray, home: np.ndarray, part: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first place of the group of each fingerprint of a shard, where
+    links go from any fingerprint to one that lives here, and the first
+    place that a link leads to directly."""
+    groups, direct = _Groups(len(fps)), np.arange(len(fps))
+    for a, b in close_pairs(fps, np.flatnonzero(home), np.arange(len(fps)), part, bits):
+        groups.join(a, b)
+        np.minimum.at(direct, np.maximum(a, b), np.minimum(a, b))
+    return groups.roots, direct
+
+
+def placed(distinct: DataFrame, bits: int, shard_size: int, words: int) -> DataFrame:
+    """Each fingerprint ``fp`` of a ``word`` with its other columns in every
+    ``shard`` it lives in (``home``) or visits.  ``shard // words`` modulo
+    ``parts_for(bits)`` is the part a shard compares.
 
     The upper levels come from at most ``MOST_SHARDS * SAMPLED_PER_SHARD``
     fingerprints; any sample gives right results, it only balances shards.
     """
-    if "word" not in distinct.columns:
-        distinct = distinct.withColumn("word", F.lit(0))
     count = distinct.count()
     shards = max(1, min(MOST_SHARDS, -(-count // (words * shard_size))))
     sample = distinct.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(shards * SAMPLED_PER_SHARD)
     sampled = np.array([r["fp"] for r in sample.collect()], np.int64).view(np.uint64)
     parts = parts_for(bits)
     trees = [shard_tree(np.unique(_part(sampled, part, parts)), shards) for part in range(parts)]
+    others = [c for c in distinct.columns if c not in ("fp", "word")]
+    names = ["shard", "home", "fp", *others]
 
     def route(batches):
         for batch in batches:
-            fps, nodes, word = batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy(), batch.column(2).to_numpy()
+            fps, word = batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy()
+            rest = [batch.column(k).to_numpy() for k in range(2, batch.num_columns)]
             for part, tree in enumerate(trees):
                 for shard, who, home in routed(_part(fps, part, parts), tree, bits // parts):
                     place = ((shard * parts + part) * words + word[who]).astype(np.int32)
-                    columns = [place, fps[who].view(np.int64), nodes[who], home]
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["shard", "fp", "node", "home"])
+                    columns = [place, home, fps[who].view(np.int64), *(c[who] for c in rest)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
+
+    kinds = ", ".join(f"{c} long" for c in others)
+    return distinct.select("fp", "word", *others).mapInArrow(route, f"shard int, home boolean, fp long, {kinds}")
+
+
+def fingerprint_links(distinct: DataFrame, bits: int = 3, shard_size: int = SHARD_SIZE, words: int = 1) -> DataFrame:
+    """Links a - b between the ``node`` values of fingerprints ``fp`` of the
+    same ``word`` (0 to ``words`` - 1) at ``bits`` or fewer differing bits.  Of a linked set within one shard it
+    gives a star, not all pairs, so that components are whole and a large
+    group of near copies stays linear.  ``near`` is the first node of the
+    shard that is itself close to ``a``.
+    """
+    if "word" not in distinct.columns:
+        distinct = distinct.withColumn("word", F.lit(0))
+    parts = parts_for(bits)
 
     def link(key: tuple, table: pa.Table) -> pa.Table:
-        fps = table["fp"].to_numpy().view(np.uint64)
-        nodes = table["node"].to_numpy()
-        roots = shard_groups(fps, table["home"].to_numpy(), key[0].as_py() // words % parts, bits)
+        order = np.argsort(table["node"].to_numpy(), kind="stable")
+        fps, nodes = table["fp"].to_numpy()[order].view(np.uint64), table["node"].to_numpy()[order]
+        roots, direct = shard_groups(fps, table["home"].to_numpy()[order], key[0].as_py() // words % parts, bits)
         linked = np.flatnonzero(roots != np.arange(len(roots)))
-        return pa.table({"a": nodes[linked], "b": nodes[roots[linked]]})
+        return pa.table({"a": nodes[linked], "b": nodes[roots[linked]], "near": nodes[direct[linked]]})
 
-    places = distinct.select("fp", "node", "word").mapInArrow(route, "shard int, fp long, node long, home boolean")
-    return places.groupBy("shard").applyInArrow(link, "a long, b long")
+    places = placed(distinct.select("fp", "word", "node"), bits, shard_size, words)
+    return places.groupBy("shard").applyInArrow(link, "a long, b long, near long")
 
 
-def _links_of_words(distinct: DataFrame, bits: int, words: int) -> DataFrame:
-    """Links between nodes that any word of their fingerprints links.  Nodes
-    that share a word whole are linked to its smallest before the search."""
+def links_of_words(distinct: DataFrame, bits: int, words: int) -> DataFrame:
+    """Links a - b and a - near, as of ``fingerprint_links``, between nodes
+    that any word of their fingerprints links.  Nodes that share a word whole
+    are linked to its smallest before the search."""
     each = distinct.select("node", F.posexplode("fp").alias("word", "fp"))
     firsts = written_table(each.groupBy("word", "fp").agg(F.min("node").alias("node")), "words")
     same = each.join(firsts.withColumnRenamed("node", "b"), ["word", "fp"]).filter("node <> b")
     found = fingerprint_links(firsts, bits, SHARD_SIZE_OF_WORDS, words)
-    return found.unionByName(same.select(F.col("node").alias("a"), "b").distinct())
+    return found.unionByName(same.select(F.col("node").alias("a"), "b", F.col("b").alias("near")).distinct())
 
 
 def near_duplicates(docs: DataFrame, bits: int = 3, shingle: int = 3, words: int = 1) -> DataFrame:
@@ -282,8 +316,8 @@ def near_duplicates(docs: DataFrame, bits: int = 3, shingle: int = 3, words: int
     shared = fps.filter("doc_id IS NOT NULL").join(distinct, "fp").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
     repeated = shared.groupBy("a").agg(F.min("b").alias("least"), F.max("b").alias("most")).filter("least <> most")
     repeated = shared.join(repeated.select("a"), "a", "left_semi").distinct()
-    links = fingerprint_links(distinct, bits) if words == 1 else _links_of_words(distinct, bits, words)
-    linked = components(links.unionByName(repeated))
+    links = fingerprint_links(distinct, bits) if words == 1 else links_of_words(distinct, bits, words)
+    linked = components(links.select("a", "b").unionByName(repeated))
     classes = distinct.join(linked, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
     labelled = fps.join(classes, "fp", "left")
     return labelled.select(

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from basketlens.functions.shared_tables import written_table
-from basketlens.llm import anchors, mixing, packing, quality, simhash
+from basketlens.llm import anchors, mixing, packing, quality, similar
 from basketlens.llm.tokens import default_tokenizer
 from basketlens.llm.workers import find_package
 
@@ -22,13 +22,13 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that share most of their 5-word shingles the one with the
-    smallest doc_id stays.  Each has eight fingerprints, and 7 or fewer
-    differing bits in one of them link: a fingerprint alone finds a third of
-    the pairs with a similarity of 0.8."""
+    """Of documents linked by a similarity of 0.8 or more between their sets
+    of 5-word shingles the one with the smallest doc_id stays.  Pairs are
+    found by eight fingerprints, 7 or fewer differing bits in one of them (a
+    fingerprint alone finds a third of the pairs with 0.8), and verified."""
     find_package(spark)
-    found = simhash.near_duplicates(docs, bits=7, shingle=5, words=8)
-    others = found.filter("doc_id <> component_id").select("doc_id").distinct()
+    found = similar.similar_groups(docs, similarity=0.8, shingle=5, bits=7, words=8)
+    others = found.filter("doc_id <> component_id").select("doc_id")
     return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
 
 

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from basketlens.llm import anchors, blocks, components, quality, runindex, simhash
+from basketlens.llm import anchors, blocks, components, quality, runindex, simhash, similar
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -130,6 +130,50 @@ def test_simhash_equals_brute_force(docs, plain, nothing, bits, shingle, count):
     assert simhash.near_duplicates(nothing, words=count).isEmpty()
 
 
+def _edited_copies(rng):
+    """Stars, chains and loose families of edited texts."""
+    vocabulary, texts = [f"w{n}" for n in range(3000)], []
+    for family in range(60):
+        first = list(rng.choice(vocabulary, rng.integers(40, 160)))
+        texts.append(first)
+        for copy in range(8):
+            words = list(texts[-1] if family % 3 else first)
+            for at in rng.integers(0, len(words), 1 + family % 5):
+                words[at] = rng.choice(vocabulary)
+            texts.append(words[: len(words) - family % 4])
+    return [" ".join(texts[k]) for k in rng.permutation(len(texts))]
+
+
+@pytest.mark.parametrize("bits,count,small", [(7, 2, False), (15, 2, True), (7, 8, True)])
+def test_similar_groups_equal_brute_force(spark, docs, plain, nothing, monkeypatch, bits, count, small):
+    if small:
+        monkeypatch.setattr(simhash, "SHARD_SIZE_OF_WORDS", 70)
+        monkeypatch.setattr(similar, "ASKED_AT_ONCE", 9)
+    made = [(10_000 + n, t) for n, t in enumerate(_edited_copies(np.random.default_rng(bits)))] + [(10_003, "quite another"), (10_005, "")]
+    rows = [(i, t) for i, t in plain if i is not None] + made
+    sets, prints = [], []
+    for _, text in rows:
+        words = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text))
+        runs = {" ".join(words[j : j + 5]) for j in range(max(1, len(words) - 4))} if words else set()
+        hashes = [xxhash.xxh64_intdigest(r.encode(), 42) for r in runs]
+        each = [hashes, *([_split_mixed((h + k) % 2**64) for h in hashes] for k in range(1, count))]
+        prints.append([sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hs) > len(hs)) for hs in each])
+        sets.append(runs)
+    fps, label = np.array(prints, np.uint64), np.array([i for i, _ in rows])
+    near = label[:, None] == label[None, :]
+    proposed = (np.bitwise_count(fps[:, None] ^ fps[None, :]) <= bits).any(axis=2)
+    for a, b in zip(*np.nonzero(np.triu(proposed))):
+        common, every = len(sets[a] & sets[b]), len(sets[a] | sets[b])
+        near[a, b] = near[b, a] = near[a, b] or 5 * common >= 4 * every
+    assert (proposed & ~near).any()
+    while (new := np.array([label[row].min() for row in near])).tolist() != label.tolist():
+        label = new
+    table = docs.unionByName(spark.createDataFrame(made, "doc_id long, text string"), allowMissingColumns=True)
+    found = similar.similar_groups(table, 0.8, 5, bits, count)
+    assert by_id(found) == collections.Counter({(i, int(c)) for (i, _), c in zip(rows, label)})
+    assert similar.similar_groups(nothing).isEmpty()
+
+
 @pytest.mark.parametrize("bits", [3, 7])
 def test_shards_lose_no_link(spark, docs, bits):
     """Close groups over many small shards, a part that all share too."""
