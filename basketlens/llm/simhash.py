@@ -32,6 +32,7 @@ SAMPLED_PER_SHARD = 16
 LEAF_SIZE = 64
 BLOCK = 1_024
 
+_LOW_BITS = np.uint64(0x0101010101010101)
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
@@ -41,9 +42,17 @@ def fingerprint_of(hashes: np.ndarray, firsts: np.ndarray, counts: np.ndarray) -
     some = np.flatnonzero(counts)
     if not len(some):
         return result
-    bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    ones = np.add.reduceat(bits, firsts[some], axis=0, dtype=np.int64)
-    result[some] = np.packbits(2 * ones > counts[some, None], axis=1, bitorder="little").view("<u8").ravel()
+    # Sums of 255 hashes or fewer fit into the bytes of a number: each adds up
+    # one bit of eight.
+    pieces = -(-counts[some] // 255)
+    begins = np.cumsum(pieces) - pieces
+    starts = np.repeat(firsts[some] - 255 * begins, pieces) + 255 * np.arange(pieces.sum())
+    ones = np.empty((len(some), 8, 8), np.int64)
+    for bit in range(8):
+        sums = np.add.reduceat(hashes >> np.uint64(bit) & _LOW_BITS, starts).astype("<u8").view(np.uint8)
+        ones[:, :, bit] = np.add.reduceat(sums.reshape(-1, 8), begins, axis=0, dtype=np.int64)
+    bits = np.packbits(2 * ones > counts[some, None, None], axis=2, bitorder="little")
+    result[some] = bits.reshape(-1, 8).view("<u8").ravel()
     return result
 
 
