@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketlens.llm.rolling import Rolling, Words, covered, grouped, mixed, repeated
+from basketlens.llm.rolling import Rolling, Words, covered, grouped, mixed, repeated, slices
 
 #: Largest share of a text's word characters inside repeated runs of n words
 #: (published rules for large web corpora, fixed values), and inside lines
@@ -80,7 +80,7 @@ def repetition_quality(docs: DataFrame, ngram_limits: dict[int, float] | None =
     schema = pa.schema([(n, kinds[k]) for n, k in (f.split() for f in COLUMNS.split(", "))])
 
     def judge(batches):
-        for batch in batches:
+        for batch in slices(batches):
             at = 0
             for texts in grouped(batch.column(1).to_pylist()):
                 found = measure(texts, ngram_limits)
@@ -94,12 +94,11 @@ def repetition_quality(docs: DataFrame, ngram_limits: dict[int, float] | None =
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows whose text passes, with all their columns as they are."""
 
+    text = [c.lower() for c in docs.columns].index("text")
+
     def filtered(batches):
-        for batch in batches:
-            texts, masks = batch.column(batch.num_columns - 1).to_pylist(), []
-            for group in grouped(texts):
-                masks.append(measure(group)[6])
-            keep = pa.array(np.concatenate(masks) if masks else np.empty(0, bool))
-            yield batch.filter(keep).select(list(range(batch.num_columns - 1)))
-
-    return docs.withColumn("__judged", F.col("text")).mapInArrow(filtered, docs.schema)
+        for batch in slices(batches):
+            masks = [measure(group)[6] for group in grouped(batch.column(text).to_pylist())]
+            yield batch.filter(pa.array(np.concatenate(masks)))
+
+    return docs.mapInArrow(filtered, docs.schema)

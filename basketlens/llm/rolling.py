@@ -9,9 +9,12 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
 
 #: Bytes of text that are worked on at once; one longer text goes alone.
-GROUP_BYTES = 1 << 20
+GROUP_BYTES = 1 << 18
+#: Rows of which the texts are Python strings at once.
+SLICE_ROWS = 512
 
 _BASES = (0x9FB21C651E98DF25, 0xD6E8FEB86659FD93)
 _IS_SPACE = np.zeros(256, bool)
@@ -89,6 +92,13 @@ def grouped(texts: Iterable[str | bytes | None], limit: int = GROUP_BYTES) -> It
         yield group
 
 
+def slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of few rows, without a copy."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(at, SLICE_ROWS)
+
+
 class Words:
     """The words of a group of texts: maximal runs of bytes other than the
     space and 0x09 to 0x0D."""

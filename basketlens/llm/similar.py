@@ -19,6 +19,7 @@ from basketlens.functions.joins import lookup
 from basketlens.functions.shared_tables import written_table
 from basketlens.llm import simhash
 from basketlens.llm.components import components
+from basketlens.llm.rolling import slices
 
 #: Fingerprints of a shard that one task of the second search asks for.
 ASKED_AT_ONCE = 131_072
@@ -37,7 +38,7 @@ def _described(docs: DataFrame, shingle: int, words: int) -> DataFrame:
     def describe(batches):
         from xxhash import xxh3_128_digest
 
-        for batch in batches:
+        for batch in slices(batches):
             sets = [shingle_set(t, shingle) for t in batch.column(1).to_pylist()]
             fps = simhash.fingerprints_of_hashes(sets, words).view(np.int64)
             keys = pa.array([xxh3_128_digest(s.astype("<u8").tobytes()) for s in sets], pa.binary())
@@ -58,7 +59,7 @@ def similar_pairs(pairs: DataFrame, docs: DataFrame, shingle: int, similarity: f
     similarity: common shingles to all shingles of both."""
 
     def sets(batches):
-        for batch in batches:
+        for batch in slices(batches):
             found = [shingle_set(t, shingle).view(np.int64) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], names=["node", "hashes"])
 
