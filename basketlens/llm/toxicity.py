@@ -1,14 +1,16 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries share a base of ordinary text.  One ends with
-words of toxic documents whose byte n-grams ordinary documents lack, the
-other with as much ordinary text.  A window of words that the toxic one
-makes shorter is closer to toxic text; thresholds on these gains are
-calibrated on labelled documents that the dictionaries have not seen.
+Two zstandard dictionaries hold what tells the classes apart: the stretches
+of words whose byte n-grams documents of one class hold more often, and those
+of the other.  An overlapping window of words that the toxic one makes
+shorter is closer to toxic text.  Weights of these gains are fitted on
+labelled documents by cross-fitting: each is measured by dictionaries made
+from the other folds, and the dictionaries in use are made from all.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,19 +19,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketlens.functions.shared_tables import written_table
+from basketlens.llm.rolling import slices
 
-#: Labelled documents of a class that are learned from, at most: one half for
-#: the dictionaries, the other half for the thresholds.
+#: Labelled documents of a class that are learned from, at most, and folds.
 LEARNED_DOCUMENTS = 3_000
-#: Windows of ordinary text and toxic words kept for the dictionaries.
-BASE_WINDOWS, TOXIC_WORDS = 4_000, 3_000
-DICTIONARY_BYTES = 1 << 16
-WINDOW_WORDS = 8
+FOLDS = 4
+#: Byte n-grams and stretches of words of a class kept for its dictionary.
+GRAMS, SPANS = 3_000, 3_000
+DICTIONARY_BYTES, SPAN_BYTES = 1 << 16, 64
+#: Words of a window; windows start at every second of them.
+WINDOW_WORDS, STEP_WORDS = 4, 2
+#: Bytes of an n-gram, and the shortest match of the compressor.
 GRAM_BYTES = 6
 #: Log-likelihood ratio from which a byte n-gram tells the classes apart.
 LEAST_RATIO = 25.0
-#: Bytes that a window is shortened by before it counts.
-SLIGHT, CLEAR = 2, 4
+#: Ends each dictionary and begins each window, so that every window has a
+#: match and a further one costs no section header.
+MARK = b"\x01plain or toxic\x02"
+#: Ranks of the largest gains, and bytes from which gains are counted.
+RANKS, LEAST_GAINS = (0, 1, 3, 7), (1, 2, 3, 4, 6)
+FEATURES = len(RANKS) + len(LEAST_GAINS) + 1
+_NO_WORD = re.compile(r"[^\w]+")
 
 
 def _grams(raw: bytes) -> np.ndarray:
@@ -42,13 +52,26 @@ def _grams(raw: bytes) -> np.ndarray:
     return grams
 
 
-def _lowered(text: str | None) -> bytes:
-    return (text or "").lower().encode()
+def _line(text: str | None) -> bytes:
+    """Words in lower case, without punctuation, a space around each."""
+    words = _NO_WORD.sub(" ", (text or "").lower()).split()
+    return b" %b " % " ".join(words).encode() if words else b""
 
 
-def _windows(text: str | None) -> list[bytes]:
-    words = _lowered(text).split()
-    return [b" ".join(words[i : i + WINDOW_WORDS]) for i in range(0, len(words), WINDOW_WORDS)]
+def _spans(word: bytes, ratios: dict[int, float]):
+    """Stretches of a word, with the spaces around it, of n-grams in
+    ``ratios`` one behind the other, and the largest ratio of each."""
+    padded = b" %b " % word
+    found = [ratios.get(g, 0.0) for g in _grams(padded).tolist()] + [0.0]
+    begin = None
+    for i, ratio in enumerate(found):
+        if ratio and begin is None:
+            begin = i
+        elif not ratio and begin is not None:
+            for at in range(begin, i, SPAN_BYTES - GRAM_BYTES + 1):
+                end = min(i, at + SPAN_BYTES - GRAM_BYTES + 1)
+                yield padded[at : end + GRAM_BYTES - 1], max(found[at:end])
+            begin = None
 
 
 @dataclass
@@ -60,20 +83,43 @@ class ToxicityModel:
     weights: np.ndarray
 
     def features(self, texts: list[str | None]) -> np.ndarray:
+        """Largest gains and counts of gains of windows, and the logarithm of
+        the number of windows.  Windows without an n-gram of a dictionary
+        have no gain and are not compressed."""
         import zstandard
 
+        options = dict(min_match=GRAM_BYTES, strategy=zstandard.STRATEGY_FAST, window_log=18)
+        options |= dict(write_content_size=False, write_checksum=False, write_dict_id=False)
+
         def shorter(content: bytes):
             own = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            return zstandard.ZstdCompressor(level=3, dict_data=own, write_content_size=False, write_checksum=False, write_dict_id=False).compress
+            return zstandard.ZstdCompressor(compression_params=zstandard.ZstdCompressionParameters.from_level(3, **options), dict_data=own).compress
 
-        plain, toxic = shorter(self.ordinary), shorter(self.toxic)
-        rows = np.zeros((len(texts), 5))
+        plain, toxic = shorter(self.ordinary + MARK), shorter(self.toxic + MARK)
+        known = np.unique(np.concatenate([_grams(self.ordinary), _grams(self.toxic)]))
+        rows = np.zeros((len(texts), FEATURES))
         for i, text in enumerate(texts):
-            windows = _windows(text)
-            if windows:
-                gains = np.array([len(plain(w)) - len(toxic(w)) for w in windows], float)
-                root = len(gains) ** 0.5
-                rows[i] = gains.max(), np.sort(gains)[-3:].mean(), np.maximum(gains - SLIGHT, 0).sum() / root, (gains >= CLEAR).sum() / root, gains.mean()
+            line = _line(text)
+            spaces = np.flatnonzero(np.frombuffer(line, np.uint8) == 32)
+            words = max(len(spaces) - 1, 0)
+            windows = max(1, -(-(words - WINDOW_WORDS) // STEP_WORDS) + 1) if words else 0
+            rows[i, -1] = np.log1p(windows)
+            grams = _grams(line)
+            if not windows or not len(known) or not len(grams):
+                continue
+            at = np.flatnonzero(known[np.minimum(np.searchsorted(known, grams), len(known) - 1)] == grams)
+            if not len(at):
+                continue
+            word = np.unique(np.searchsorted(spaces, at, "right") - 1)
+            near = (word // STEP_WORDS)[:, None] - np.arange(-(-WINDOW_WORDS // STEP_WORDS))
+            gains = []
+            for first in np.unique(near[(near >= 0) & (near < windows)]).tolist():
+                first *= STEP_WORDS
+                window = MARK + line[spaces[first] : spaces[min(first + WINDOW_WORDS, words)] + 1]
+                gains.append(len(plain(window)) - len(toxic(window)))
+            largest = np.sort(np.array(gains + [0] * (RANKS[-1] + 1)))[::-1]  # the other windows' are zero
+            rows[i, : len(RANKS)] = largest[list(RANKS)]
+            rows[i, len(RANKS) : -1] = [np.log1p((largest >= least).sum()) for least in LEAST_GAINS]
         return rows
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
@@ -92,79 +138,108 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1
     return w
 
 
-def _contrast(grams: DataFrame, toxic: int, ordinary: int) -> DataFrame:
-    """Byte n-grams that toxic documents hold more often, with the ratio."""
-    a, b = F.col("toxic_n"), F.col("ordinary_n")
-    part = lambda x, n: F.when(x > 0, x * F.log(x * (toxic + ordinary) / ((a + b) * n))).otherwise(0.0)
-    rest = lambda x, n: F.when(n > x, (n - x) * F.log((n - x) * (toxic + ordinary) / ((toxic + ordinary - a - b) * n))).otherwise(0.0)
-    ratio = 2 * (part(a, toxic) + part(b, ordinary) + rest(a, F.lit(toxic)) + rest(b, F.lit(ordinary)))
-    return grams.filter(a / toxic > b / ordinary).select("gram", ratio.alias("ratio")).filter(F.col("ratio") >= LEAST_RATIO)
+def _nothing() -> ToxicityModel:
+    return ToxicityModel(b"", b"", np.zeros(FEATURES), np.ones(FEATURES), np.zeros(FEATURES + 1))
+
+
+def _contrast(grams: DataFrame, own: str, own_size: int, other: str, other_size: int) -> dict[int, float]:
+    """The byte n-grams that documents of one class hold more often, with
+    the ratio, at most ``GRAMS`` of them."""
+    a, b = F.col(own), F.col(other)
+    part = lambda x, n: F.when(x > 0, x * F.log(x * (own_size + other_size) / ((a + b) * n))).otherwise(0.0)
+    rest = lambda x, n: F.when(n > x, (n - x) * F.log((n - x) * (own_size + other_size) / ((own_size + other_size - a - b) * n))).otherwise(0.0)
+    ratio = 2 * (part(a, own_size) + part(b, other_size) + rest(a, F.lit(own_size)) + rest(b, F.lit(other_size)))
+    found = grams.filter(a / own_size > b / other_size).select("gram", ratio.alias("ratio")).filter(F.col("ratio") >= LEAST_RATIO)
+    return {r["gram"]: r["ratio"] for r in found.orderBy(F.desc("ratio"), "gram").limit(GRAMS).collect()}
+
+
+def _dictionaries(texts: DataFrame) -> list[ToxicityModel]:
+    """For each fold the dictionaries made from the other folds, then those
+    made from all of ``texts`` (text, toxic, fold)."""
+
+    def count(batches):
+        for batch in slices(batches):
+            folds, toxic = (np.array(batch.column(c).to_pylist(), np.int64) for c in ("fold", "toxic"))
+            for fold in np.unique(folds).tolist():
+                own = np.flatnonzero(folds == fold)
+                each = [np.unique(_grams(_line(t))) for t in batch.column("text").take(pa.array(own)).to_pylist()]
+                grams, n = np.unique(np.concatenate(each), return_inverse=True)
+                kinds = np.repeat(toxic[own], [len(e) for e in each])
+                counts = [np.bincount(n, k, len(grams)).astype(np.int64) for k in (kinds, 1 - kinds)]
+                yield pa.RecordBatch.from_arrays([pa.array(grams), pa.array(np.full(len(grams), fold)), *map(pa.array, counts)], names=["gram", "fold", "toxic", "ordinary"])
+
+    sizes = {(r["fold"], r["toxic"]): r["n"] for r in texts.groupBy("fold", "toxic").agg(F.count("*").alias("n")).collect()}
+    used = {k: F.col("fold") != k for k in range(FOLDS + 1)}
+    sums = [F.sum(F.when(of, F.col(c)).otherwise(0)).alias(f"{c}_{k}") for k, of in used.items() for c in ("toxic", "ordinary")]
+    grams = texts.select("text", "toxic", "fold").mapInArrow(count, "gram long, fold long, toxic long, ordinary long")
+    grams = written_table(grams.groupBy("gram").agg(*sums), "grams")
+    ratios = {}
+    for k in used:
+        toxic, ordinary = (sum(n for (fold, kind), n in sizes.items() if fold != k and kind == t) for t in (1, 0))
+        if toxic and ordinary:
+            ratios[k, 1] = _contrast(grams, f"toxic_{k}", toxic, f"ordinary_{k}", ordinary)
+            ratios[k, 0] = _contrast(grams, f"ordinary_{k}", ordinary, f"toxic_{k}", toxic)
+
+    def list_spans(batches):
+        for batch in slices(batches):
+            rows = []
+            for text, toxic, fold in zip(*(batch.column(c).to_pylist() for c in ("text", "toxic", "fold"))):
+                words = set(_line(text).split())
+                for k in range(FOLDS + 1):
+                    own = ratios.get((k, toxic)) if k != fold else None
+                    if own:
+                        best: dict[bytes, float] = {}
+                        for word in words:
+                            for span, ratio in _spans(word, own):
+                                best[span] = max(best.get(span, 0.0), ratio)
+                        rows += [(k, toxic, span, ratio) for span, ratio in best.items()]
+            columns = list(zip(*rows)) or [[]] * 4
+            kinds = pa.int64(), pa.int64(), pa.binary(), pa.float64()
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["k", "toxic", "span", "ratio"])
+
+    spans = texts.select("text", "toxic", "fold").mapInArrow(list_spans, "k long, toxic long, span binary, ratio double")
+    spans = written_table(spans.groupBy("k", "toxic", "span").agg(F.max("ratio").alias("ratio"), F.count("*").alias("n")), "spans")
+    made = []
+    for k in used:
+        made.append(_nothing())
+        for kind in (0, 1):
+            if ratios.get((k, kind)):
+                best = spans.filter((F.col("k") == k) & (F.col("toxic") == kind)).orderBy(F.desc("ratio"), F.desc("n"), "span").limit(SPANS).collect()
+                content = b"\n".join(bytes(r["span"]) for r in reversed(best))[-DICTIONARY_BYTES:]
+                setattr(made[-1], "toxic" if kind else "ordinary", content)
+    return made
 
 
 def fit(docs: DataFrame, labels: DataFrame, learned: int = LEARNED_DOCUMENTS) -> ToxicityModel:
     """Learn from at most ``learned`` documents of each class, those whose id
     has the smallest hashes.  Labels without id or class are left out; of
     several labels of a document the largest counts.  Without documents of
-    both classes every text scores 0."""
+    both classes, or without anything that tells them apart, every text
+    scores 0."""
     classes = labels.filter("doc_id IS NOT NULL AND toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     usable = classes.join(docs.select("doc_id").distinct(), "doc_id")
     totals = {r["toxic"]: r["n"] for r in usable.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(totals) < 2:
-        return ToxicityModel(b"", b"", np.zeros(5), np.ones(5), np.zeros(6))
+        return _nothing()
     order = F.xxhash64("doc_id"), F.col("doc_id")
     picked = usable.filter("toxic = 0").orderBy(*order).limit(learned).unionByName(usable.filter("toxic = 1").orderBy(*order).limit(learned))
     texts = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").dropDuplicates(["doc_id"])  # 2 * learned ids
-    texts = written_table(texts.withColumn("for_words", F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)) == 0), "labelled")
-    words, measured = texts.filter("for_words"), texts.filter("NOT for_words")
-
-    def count(batches):
-        for batch in batches:
-            toxic = np.array(batch.column("toxic").to_pylist())
-            each = [np.unique(_grams(b" " + _lowered(t) + b" ")) for t in batch.column("text").to_pylist()]
-            grams, n = np.unique(np.concatenate(each), return_inverse=True)
-            kinds = np.repeat(toxic, [len(e) for e in each])
-            columns = [pa.array(grams), pa.array(np.bincount(n, kinds, len(grams)).astype(np.int64)), pa.array(np.bincount(n, 1 - kinds, len(grams)).astype(np.int64))]
-            yield pa.RecordBatch.from_arrays(columns, names=["gram", "toxic_n", "ordinary_n"])
-
-    half = {r["toxic"]: r["n"] for r in words.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    grams = words.select("text", "toxic").mapInArrow(count, "gram long, toxic_n long, ordinary_n long")
-    grams = grams.groupBy("gram").agg(F.sum("toxic_n").alias("toxic_n"), F.sum("ordinary_n").alias("ordinary_n"))
-    found = _contrast(grams, half.get(1, 0), half.get(0, 0)).orderBy(F.desc("ratio"), "gram").limit(TOXIC_WORDS).collect()
-    ratios = {r["gram"]: r["ratio"] for r in found}
-
-    def list_words(batches):
-        for batch in batches:
-            rows = []
-            for text in batch.column(0).to_pylist():
-                for word in set(_lowered(text).split()):
-                    if len(word) <= 64:
-                        rows.append((word, max((ratios.get(g, 0.0) for g in _grams(b" " + word + b" ").tolist()), default=0.0)))
-            rows = [r for r in rows if r[1]]
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.float64())], names=["word", "ratio"])
-
-    toxic_words = words.filter("toxic = 1").select("text").mapInArrow(list_words, "word binary, ratio double")
-    toxic_words = toxic_words.groupBy("word").agg(F.max("ratio").alias("ratio"), F.count("*").alias("n"))
-    best = toxic_words.orderBy(F.desc("ratio"), F.desc("n"), "word").limit(TOXIC_WORDS).collect()
-
-    def list_windows(batches):
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([w for t in batch.column(0).to_pylist() for w in _windows(t)], pa.binary())], names=["window"])
-
-    windows = words.filter("toxic = 0").select("text").mapInArrow(list_windows, "window binary")
-    plain = [bytes(r["window"]) for r in windows.filter(F.length("window") <= 1024).orderBy(F.xxhash64("window"), "window").limit(BASE_WINDOWS).collect()]
-    base = b" ".join(plain)[:DICTIONARY_BYTES]
-    content = b"".join(b" " + bytes(r["word"]) + b" " for r in reversed(best))[-DICTIONARY_BYTES:]
-    model = ToxicityModel(base + b" ".join(reversed(plain))[: len(content)], base + content, np.zeros(5), np.ones(5), np.zeros(6))
+    fold = F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS))
+    texts = written_table(texts.select("text", F.col("toxic").cast("long").alias("toxic"), fold.alias("fold")), "labelled")
+    *others, model = _dictionaries(texts)
+    if not model.toxic:
+        return _nothing()
 
     def gauge(batches):
-        for batch in batches:
-            rows = model.features(batch.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(rows.tolist(), pa.list_(pa.float64()))], names=["toxic", "features"])
-
-    rows = measured.select("text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(gauge, "toxic int, features array<double>").collect()
-    y, x = np.array([r["toxic"] for r in rows], float), np.array([r["features"] for r in rows]).reshape(-1, 5)
-    if len(set(y)) < 2:
-        return ToxicityModel(b"", b"", np.zeros(5), np.ones(5), np.zeros(6))
+        for batch in slices(batches):
+            folds, found = np.array(batch.column("fold").to_pylist()), np.zeros((batch.num_rows, FEATURES))
+            for k in np.unique(folds).tolist():
+                own = np.flatnonzero(folds == k)
+                found[own] = others[k].features(batch.column("text").take(pa.array(own)).to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(found.tolist(), pa.list_(pa.float64()))], names=["toxic", "features"])
+
+    rows = texts.select("text", "toxic", "fold").mapInArrow(gauge, "toxic long, features array<double>").collect()
+    y, x = np.array([r["toxic"] for r in rows], float), np.array([r["features"] for r in rows]).reshape(-1, FEATURES)
     model.centre, model.spread = x.mean(0), x.std(0) + 1e-9
     weight = np.where(y == 1, totals[1] / y.sum(), totals[0] / (1 - y).sum()) * len(y) / sum(totals.values())
     model.weights = _logistic((x - model.centre) / model.spread, y, weight)

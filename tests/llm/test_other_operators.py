@@ -155,6 +155,14 @@ def test_toxic_words_raise_the_score(spark, docs, nothing):
     assert toxicity.score(docs, toxicity.fit(docs, labels.limit(0))).filter("score > 0").isEmpty()
 
 
+def test_held_out_toxic_documents_are_found(spark):
+    folder = "/root/testdata/sf0.1"
+    found = entry.queries()["op7_toxicity_by_compression"](spark, folder).filter("held_out")
+    rows = found.join(spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "toxic"), "doc_id").collect()
+    hits = sum(r["toxic"] for r in rows if r["predicted"])
+    assert hits >= 0.75 * sum(r["toxic"] for r in rows) and hits >= 0.9 * sum(r["predicted"] for r in rows)
+
+
 def test_pipeline_stages(spark, docs):
     stage, seen = spark.read.parquet(f"{FOLDER}/documents.parquet"), []
     columns = stage.columns
