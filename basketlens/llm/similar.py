@@ -21,6 +21,9 @@ from basketlens.llm import simhash
 from basketlens.llm.components import components
 from basketlens.llm.rolling import slices
 
+#: Fingerprints of a text: at 7 bits, together they miss about one in 500 of
+#: the pairs with similarity 0.8 (binomial model), and fewer above.
+FINGERPRINTS = 25
 #: Fingerprints of a shard that one task of the second search asks for.
 ASKED_AT_ONCE = 131_072
 #: Texts in at least this part of the pairs have their pairs spread.
@@ -101,7 +104,7 @@ def crossing_pairs(texts: DataFrame, bits: int, words: int, similarity: float) -
     return _pairs(shards.applyInArrow(cross, "a long, b long"))
 
 
-def similar_groups(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, bits: int = 7, words: int = 8) -> DataFrame:
+def similar_groups(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, bits: int = 7, words: int = FINGERPRINTS) -> DataFrame:
     """(doc_id, component_id) for each doc_id: the smallest doc_id that links
     reach.  Texts link if the sets of their ``shingle``-word runs (A-Z in
     lower case; shorter texts are one run) have at least ``similarity`` in

@@ -24,10 +24,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by a similarity of 0.8 or more between their sets
     of 5-word shingles the one with the smallest doc_id stays.  Pairs are
-    found by eight fingerprints, 7 or fewer differing bits in one of them (a
-    fingerprint alone finds a third of the pairs with 0.8), and verified."""
+    found by 25 fingerprints, 7 or fewer differing bits in one of them (a
+    fingerprint alone finds about a quarter of the pairs with 0.8), and verified."""
     find_package(spark)
-    found = similar.similar_groups(docs, similarity=0.8, shingle=5, bits=7, words=8)
+    found = similar.similar_groups(docs, similarity=0.8, shingle=5, bits=7, words=similar.FINGERPRINTS)
     others = found.filter("doc_id <> component_id").select("doc_id")
     return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
 

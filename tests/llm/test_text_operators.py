@@ -174,6 +174,27 @@ def test_similar_groups_equal_brute_force(spark, docs, plain, nothing, monkeypat
     assert similar.similar_groups(nothing).isEmpty()
 
 
+def test_similar_groups_find_isolated_pairs_at_the_bound(spark):
+    """Pairs with a true similarity of 0.8 to 0.82 and no third text."""
+    rng = np.random.default_rng(12)
+    vocabulary, rows = np.array([f"w{n}" for n in range(3000)]), []
+    while len(rows) < 600:
+        first = rng.choice(vocabulary, rng.integers(200, 400))
+        second = first.copy()
+        at = rng.choice(len(first), len(first) // 45, replace=False)
+        second[at] = rng.choice(vocabulary, len(at))
+        a, b = ({tuple(t[i : i + 5]) for i in range(len(t) - 4)} for t in (first, second))
+        if 0.8 <= len(a & b) / len(a | b) < 0.82:
+            rows += [(len(rows), " ".join(first)), (len(rows) + 1, " ".join(second))]
+    hashes = [similar.shingle_set(t, 5) for _, t in rows]
+    fps = simhash.fingerprints_of_hashes(hashes, similar.FINGERPRINTS)
+    proposed = (np.bitwise_count(fps[::2] ^ fps[1::2]) <= 7).any(axis=1).mean()
+    found = similar.similar_groups(spark.createDataFrame(rows, "doc_id long, text string"), 0.8)
+    joined = found.filter("doc_id % 2 = 1 AND component_id = doc_id - 1").count()
+    print("at 8:", (np.bitwise_count(fps[::2, :8] ^ fps[1::2, :8]) <= 7).any(axis=1).mean(), "all:", proposed, "joined:", joined)
+    assert joined >= 0.99 * 300
+
+
 @pytest.mark.parametrize("bits", [3, 7])
 def test_shards_lose_no_link(spark, docs, bits):
     """Close groups over many small shards, a part that all share too."""
