@@ -1,6 +1,7 @@
 """Nearest neighbours by hierarchical navigable small-world graphs.
 
-Vectors are dealt over shards by hash.  Each shard has a graph in flat
+Distinct vectors, with the smallest vec_ids that have them, are dealt over
+shards by hash.  Each shard has a graph in flat
 arrays: nodes are ordered by level, so a level is a prefix of them and its
 links one array.  Queries go through every shard in blocks; what the shards
 find is scored exactly and merged.
@@ -10,6 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,7 +26,7 @@ LINKS, BUILD_WIDTH, SEARCH_WIDTH = 16, 64, 128
 #: Nodes expanded at once, and inserted at once.
 EXPANDED, BATCH = 4, 256
 
-INDEX = "shard long, ids binary, vectors binary, levels binary, links binary"
+INDEX = "shard long, ids binary, repeats binary, members binary, vectors binary, levels binary, links binary"
 FOUND = "query_id long, vec_id long, score double"
 
 
@@ -187,7 +189,13 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, shard_vectors:
     """
     kind = "<f4" if vectors.schema["embedding"].dataType == T.ArrayType(T.FloatType()) else "<f8"
     prepared = vectors.select(F.col("vec_id").cast("long"), "embedding").filter(F.col("vec_id").isNotNull() & _usable(F.col("embedding")))
-    prepared = prepared.withColumn("dim", F.size("embedding"))
+    # Of the copies of a vector the k smallest vec_ids besides a query's own
+    # can be among its answer; a vec_id may have several rows.
+    prepared = prepared.groupBy("embedding", "vec_id").agg(F.least(F.count("*"), F.lit(k)).alias("n"))
+    smallest = F.row_number().over(Window.partitionBy("embedding").orderBy("vec_id"))
+    prepared = prepared.withColumn("place", smallest).filter(F.col("place") <= k + 1)
+    prepared = prepared.groupBy("embedding").agg(F.collect_list("vec_id").alias("ids"), F.collect_list("n").alias("repeats"))
+    prepared = written_table(prepared.withColumn("dim", F.size("embedding")), "distinct-vectors")
     counts = {r["dim"]: r["n"] for r in prepared.groupBy("dim").agg(F.count("*").alias("n")).collect()}
     # Shards are numbered through, dimension by dimension.
     shards, first = {}, 0
@@ -201,13 +209,15 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, shard_vectors:
 
     def index(table: pa.Table) -> pa.Table:
         order = np.random.default_rng(0).permutation(table.num_rows)
-        ids, rows = table["vec_id"].to_numpy()[order], _rows(table["embedding"], kind)[order]
+        table = table.take(pa.array(order)).combine_chunks()
+        rows, members = _rows(table["embedding"], kind), pc.list_value_length(table["ids"]).to_numpy()
+        ids, repeats = (pc.list_flatten(table[c]).to_numpy() for c in ("ids", "repeats"))
         graph = Graph.build(rows)
-        raw = [ids.astype("<i8"), rows.astype(kind), np.array(graph.sizes, "<i8"), np.concatenate([x.ravel() for x in graph.links]).astype("<i4")]
-        return pa.table({"shard": table["shard"].slice(0, 1), **{n: pa.array([x.tobytes()], pa.binary()) for n, x in zip(("ids", "vectors", "levels", "links"), raw)}})
+        raw = [*(x.astype("<i8") for x in (ids, repeats, members)), rows.astype(kind), np.array(graph.sizes, "<i8"), np.concatenate([x.ravel() for x in graph.links]).astype("<i4")]
+        return pa.table({"shard": table["shard"].slice(0, 1), **{n: pa.array([x.tobytes()], pa.binary()) for n, x in zip(("ids", "repeats", "members", "vectors", "levels", "links"), raw)}})
 
-    dealt = prepared.withColumn("shard", by_dim(0) + F.pmod(F.xxhash64("vec_id", "embedding"), by_dim(1)))
-    indexes = written_table(dealt.select("shard", "vec_id", "embedding").groupBy("shard").applyInArrow(index, INDEX), "graphs")
+    dealt = prepared.withColumn("shard", by_dim(0) + F.pmod(F.xxhash64("embedding"), by_dim(1)))
+    indexes = written_table(dealt.select("shard", "ids", "repeats", "embedding").groupBy("shard").applyInArrow(index, INDEX), "graphs")
 
     asked = queries.select(F.col("vec_id").cast("long"), "embedding").filter(F.col("vec_id").isNotNull() & _usable(F.col("embedding")))
     asked = asked.withColumn("dim", F.size("embedding")).filter(by_dim(0).isNotNull())
@@ -226,20 +236,28 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, shard_vectors:
                 row = {n: batch.column(n)[i] for n in batch.schema.names}
                 own = np.array(row["query_ids"].values)
                 points = np.asarray(row["query_vectors"].values).astype(kind).reshape(len(own), -1)
-                ids, sizes = np.frombuffer(row["ids"].as_py(), "<i8"), np.frombuffer(row["levels"].as_py(), "<i8").tolist()
-                rows = np.frombuffer(row["vectors"].as_py(), kind).reshape(len(ids), -1)
+                ids, repeats, members, sizes = (np.frombuffer(row[c].as_py(), "<i8") for c in ("ids", "repeats", "members", "levels"))
+                rows = np.frombuffer(row["vectors"].as_py(), kind).reshape(len(members), -1)
                 flat, links, at = np.frombuffer(row["links"].as_py(), "<i4"), [], 0
-                for level, size in enumerate(sizes):
+                for level, size in enumerate(sizes.tolist()):
                     each = LINKS * (2 if level == 0 else 1)
                     links.append(flat[at : at + size * each].reshape(size, each))
                     at += size * each
-                found = Graph(rows, sizes, links).search(points, max(width, k + 1))
+                found = Graph(rows, sizes.tolist(), links).search(points, max(width, k + 1))
                 score = np.sqrt(_squared(points.astype("<f8"), rows[np.maximum(found, 0)].astype("<f8")))
-                score[(found < 0) | (ids[np.maximum(found, 0)] == own[:, None])] = np.inf
-                best = np.lexsort((ids[np.maximum(found, 0)], score), axis=1)[:, :k]
-                found, score = np.take_along_axis(found, best, 1), np.take_along_axis(score, best, 1)
-                keep = np.isfinite(score)
-                columns = [np.broadcast_to(own[:, None], found.shape)[keep], ids[found[keep]], score[keep]]
+                # Nodes found become the rows that have their vector.
+                query, at = np.nonzero(found >= 0)
+                node, score = found[query, at], score[query, at]
+                many = members[node]
+                place = np.repeat((np.cumsum(members) - members)[node] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+                query, score = np.repeat(query, many), np.repeat(score, many)
+                others = ids[place] != own[query]
+                again = np.where(others, repeats[place], 0)
+                query, score, near = (np.repeat(x, again) for x in (query, score, ids[place]))
+                best = np.lexsort((near, score, query))
+                query, score, near = query[best], score[best], near[best]
+                keep = np.arange(len(query)) - np.searchsorted(query, query) < k
+                columns = [own[query[keep]], near[keep], score[keep]]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["query_id", "vec_id", "score"])
 
     met = packed.join(indexes, "shard").mapInArrow(search, FOUND)

@@ -110,6 +110,33 @@ def test_neighbours_have_high_recall(spark, docs):
     assert graph.nearest(table.limit(0), table).isEmpty() and graph.nearest(table, table.limit(0)).isEmpty()
 
 
+def test_copies_of_a_vector_hide_no_neighbours(spark):
+    """A third of the rows share one vector; full shards; near vectors beyond the copies."""
+    rng = np.random.default_rng(14)
+    points = rng.normal(size=(1_800, 12))
+    points[1_200:] = points[0]
+    points[1:6] = points[0] + 0.01 * rng.normal(size=(5, 12))
+    ids = rng.permutation(1_800)
+    rows = [(int(i), [float(x) for x in p]) for i, p in zip(ids, points)]
+    rows.append(rows[7])  # a row twice
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    asked = [*range(8), *range(1_200, 1_800, 30), *range(8, 1_200, 40)]
+    queries = spark.createDataFrame([rows[n] for n in asked], table.schema)
+    found = collections.defaultdict(list)
+    for r in graph.nearest(table, queries, k=10, shard_vectors=300, width=64).orderBy("query_id", "rank").collect():
+        found[r["query_id"]].append(r["vec_id"])
+    hits, every = 0, np.append(points, [points[7]], axis=0)
+    labels = np.append(ids, ids[7])
+    for n in asked:
+        gaps = np.sqrt(((every - points[n]) ** 2).sum(1))
+        gaps[labels == ids[n]] = np.inf
+        right = labels[np.lexsort((labels, gaps))[:10]].tolist()
+        hits += sum((collections.Counter(right) & collections.Counter(found[ids[n]])).values())
+        if n < 6 or n >= 1_200:
+            assert found[ids[n]] == right
+    assert hits >= 0.95 * 10 * len(asked)
+
+
 def test_raking_meets_its_targets():
     rng = np.random.default_rng(6)
     tokens = rng.integers(100, 1_000, 24).astype(float)
