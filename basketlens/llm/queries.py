@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketlens.functions.shared_tables import new_path
-from basketlens.llm import anchors, audit, graph, language, mixing, packing, quality, runindex, shards, simhash, toxicity
+from basketlens.llm import anchors, audit, codes, graph, language, licences, mixing, packing, quality, runindex, shards, simhash, toxicity
 from basketlens.llm.tokens import default_tokenizer
 from basketlens.llm.workers import find_package
 
@@ -72,6 +72,15 @@ def toxicity_by_compression(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    find_package(spark)
+    return codes.compressed(spark.read.parquet(f"{folder}/embeddings.parquet"))
+
+
+def licence_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licences.scan(_documents(spark, folder))
+
+
 def filter_audit(spark: SparkSession, folder: str) -> DataFrame:
     return audit.audit(_documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
 
@@ -88,9 +97,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_anchor_dedup": anchor_dedup,
         "op9_repetition_quality": repetition_quality,
         "op10_simhash_groups": simhash_groups,
+        "op11_vector_codes": vector_codes,
+        "op12_licence_scan": licence_scan,
         "op13_filter_audit": filter_audit,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op13_filter_audit": audit.AUDIT_SQL}
+    return {"op11_vector_codes": codes.compressed_sql(), "op12_licence_scan": licences.scan_sql(), "op13_filter_audit": audit.AUDIT_SQL}
