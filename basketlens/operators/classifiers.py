@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 import itertools
 import random
-import statistics
 from collections.abc import Callable
 from multiprocessing.pool import ThreadPool
 
@@ -34,6 +34,7 @@ from basketlens.operators.churn import LAST_ORDER_FEATURES, churn_dataset_last_o
 from basketlens.operators.cleaning import standard_scale
 from basketlens.operators.features import PERSON, rfm_segments
 from basketlens.operators.kpis import column_moments, correlations
+from basketlens.operators.smote import smote_rows
 from basketlens.operators.splits import seeded_order, stratified_folds, stratified_split
 
 SEED = 42
@@ -123,6 +124,33 @@ def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
     )
 
 
+def roc_auc_by(df: DataFrame, groups: list[str], label: str, score: str) -> DataFrame:
+    """(*groups, positives, negatives, roc_auc): the exact area of every group
+    in one pass, ties counting half, null without both classes.
+
+    Scores of all groups are put in one order, group by group, and counted
+    through; a group's own counts are those less what came before it.  So
+    no task holds a group, whatever its size.  Rows with a null group, label
+    or score are left out."""
+    known = df.dropna(subset=[*groups, label, score])
+    steps = known.groupBy(*groups, F.col(score).cast("double").alias("_score")).agg(
+        F.count_if(F.col(label) == 1).alias("_ones"), F.count_if(F.col(label) == 0).alias("_zeros")
+    )
+    order = [*[F.col(g) for g in groups], F.desc("_score")]
+    counted = running_totals(steps, order, ["_ones"])
+    exact = lambda a, b: F.col(a).cast("decimal(19,0)") * F.col(b).cast("decimal(19,0)")
+    sums = counted.groupBy(*groups).agg(
+        F.sum("_ones").alias("positives"),
+        F.sum("_zeros").alias("negatives"),
+        F.sum(exact("_ones_before", "_zeros")).alias("_above"),
+        F.sum(exact("_ones", "_zeros")).alias("_tied"),
+        F.min("_ones_before").alias("_first"),
+    )
+    twice = 2 * (F.col("_above") - exact("_first", "negatives")) + F.col("_tied")
+    area = ratio(twice, 2.0 * F.col("positives") * F.col("negatives"))
+    return sums.select(*groups, "positives", "negatives", area.alias("roc_auc"))
+
+
 # --- data preparation ------------------------------------------------------------
 
 
@@ -185,13 +213,13 @@ def classifiers(label: str) -> dict[str, Estimator]:
     }
 
 
-def right_sized(df: DataFrame, partitions: int | None = None) -> DataFrame:
+def right_sized(df: DataFrame, order: tuple[str, ...] = (PERSON,)) -> DataFrame:
     """The rows dealt by person over a fixed number of partitions, in order.
     Learners bag and sum per partition, so what they fit depends on the
     number that is set (``spark.basketlens.trainingPartitions``) and not on
     the size of files."""
-    partitions = partitions or int(df.sparkSession.conf.get(TRAINING_PARTITIONS, DEFAULT_TRAINING_PARTITIONS))
-    return df.repartition(partitions, PERSON).sortWithinPartitions(PERSON)
+    partitions = int(df.sparkSession.conf.get(TRAINING_PARTITIONS, DEFAULT_TRAINING_PARTITIONS))
+    return df.repartition(partitions, PERSON).sortWithinPartitions(*order)
 
 
 def with_vector(estimator: Estimator, features: list[str]) -> Pipeline:
@@ -271,19 +299,45 @@ def at_risk_customers(scores: DataFrame, threshold: float = 0.6, n: int = 100) -
     return scores.filter(F.col("churn_probability") > threshold).orderBy(F.desc("churn_probability"), PERSON).limit(n)
 
 
-def _fold_scores(folded: DataFrame, features: list[str], label: str, learners: dict[str, Estimator], folds: int) -> dict[str, list[float]]:
-    """ROC-AUC of every learner on every fold.  The fits are independent
-    Spark jobs and are submitted side by side."""
-    judge = BinaryClassificationEvaluator(labelCol=label)
+def _scaled_parts(train: DataFrame, test: DataFrame, features: list[str], label: str, balance: str) -> tuple[DataFrame, DataFrame]:
+    """Both parts with standardised ``features`` vectors, written once for all
+    learners.  Means and deviations, and with ``balance="smote"`` the rows
+    between neighbours, come from the training part alone."""
+    steps = [VectorAssembler(inputCols=features, outputCol="raw_features"), StandardScaler(inputCol="raw_features", outputCol="features", withMean=True)]
+    scale = Pipeline(stages=steps).fit(train)
+    weight = ["weight"] if "weight" in train.columns else []
+    learned = scale.transform(train).select(PERSON, label, *weight, "features")
+    held = scale.transform(test).select(PERSON, label, *weight, "features")
+    order = (PERSON,)
+    if balance == "smote":
+        names = [f"_f{j}" for j in range(len(features))]
+        values = vector_to_array("features")
+        apart = learned.select(PERSON, label, *[F.get(values, F.lit(j)).alias(n) for j, n in enumerate(names)])
+        more = smote_rows(apart, PERSON, label, names).select(PERSON, label, "copy", *names)
+        every = apart.withColumn("copy", F.lit(0)).unionByName(more)
+        learned = VectorAssembler(inputCols=names, outputCol="features").transform(every).select(PERSON, label, "copy", "features")
+        order = (PERSON, "copy")
+    return right_sized(written_table(learned, "learned"), order), right_sized(written_table(held, "held-out"))
+
+
+def held_out_scores(
+    parts: dict[int, tuple[DataFrame, DataFrame]], features: list[str], label: str, learners: dict[str, Estimator], balance: str = "weights"
+) -> DataFrame:
+    """(model, fold, label, prediction, score) of the test rows of every part,
+    by every learner fitted to the part's training rows.  The fits are
+    independent Spark jobs and are submitted side by side."""
+    frame = next(iter(parts.values()))[0]
+    ready = dict(zip(parts, _side_by_side(lambda fold: _scaled_parts(*parts[fold], features, label, balance), list(parts), frame)))
 
-    def score(task: tuple[str, int]) -> float:
+    def scored(task: tuple[str, int]) -> DataFrame:
         name, fold = task
-        model = with_vector(learners[name], features).fit(folded.filter(F.col("fold") != fold))
-        return float(judge.evaluate(model.transform(folded.filter(F.col("fold") == fold))))
+        train, test = ready[fold]
+        found = probability_of_one(learners[name].fit(train), test)
+        columns = [F.lit(name).alias("model"), F.lit(fold).alias("fold"), F.col(label).alias("label")]
+        return written_table(found.select(*columns, F.col("prediction").cast("int").alias("prediction"), "score"), "scored")
 
-    tasks = [(name, fold) for name in learners for fold in range(folds)]
-    scores = _side_by_side(score, tasks, folded)
-    return {name: [s for (n, _), s in zip(tasks, scores) if n == name] for name in learners}
+    tasks = [(name, fold) for name in learners for fold in parts]
+    return functools.reduce(DataFrame.unionByName, _side_by_side(scored, tasks, frame))
 
 
 def _side_by_side(work: Callable, tasks: list, df: DataFrame) -> list:
@@ -293,54 +347,72 @@ def _side_by_side(work: Callable, tasks: list, df: DataFrame) -> list:
         return pool.map(wrapped, tasks, chunksize=1)
 
 
-def cross_validate(data: DataFrame, features: list[str], label: str, estimator: Estimator, folds: int = 5) -> tuple[float, float]:
-    """Mean and standard deviation of ROC-AUC over stratified folds."""
-    folded = right_sized(written_table(stratified_folds(data, PERSON, label, folds, SEED), "folds"))
-    scores = _fold_scores(folded, features, label, {"": estimator}, folds)[""]
-    return statistics.fmean(scores), statistics.pstdev(scores)
+def _fold_parts(folded: DataFrame, folds: int) -> dict[int, tuple[DataFrame, DataFrame]]:
+    return {k: (folded.filter(F.col("fold") != k), folded.filter(F.col("fold") == k)) for k in range(folds)}
 
 
-def cross_validation_table(data: DataFrame, features: list[str], label: str, estimator: Estimator, folds: int = 5) -> DataFrame:
-    mean, std = cross_validate(data, features, label, estimator, folds)
-    return data.sparkSession.createDataFrame([(folds, mean, std)], "folds int, roc_auc_mean double, roc_auc_std double")
+def cross_validate(
+    data: DataFrame, features: list[str], label: str, estimator: Estimator, folds: int = 5, balance: str = "weights"
+) -> DataFrame:
+    """(fold, positives, negatives, roc_auc, roc_auc_mean, roc_auc_std): the
+    exact ROC-AUC of each stratified fold, with mean and (population)
+    deviation over the folds."""
+    folded = right_sized(written_table(stratified_folds(data, PERSON, label, folds, SEED), "folds"))
+    scores = held_out_scores(_fold_parts(folded, folds), features, label, {"": estimator}, balance)
+    areas = roc_auc_by(scores, ["fold"], "label", "score")
+    every = W.partitionBy(F.lit(0)).rowsBetween(W.unboundedPreceding, W.unboundedFollowing)  # a row per fold
+    return areas.select(
+        "*", F.avg("roc_auc").over(every).alias("roc_auc_mean"), F.stddev_pop("roc_auc").over(every).alias("roc_auc_std")
+    )
 
 
 def compare_models(
-    data: DataFrame, features: list[str], label: str, learners: dict[str, Estimator] | None = None, folds: int = 5
+    data: DataFrame,
+    features: list[str],
+    label: str,
+    learners: dict[str, Estimator] | None = None,
+    folds: int = 5,
+    balance: str = "weights",
 ) -> DataFrame:
     """The same data through several learners: held-out accuracy, precision,
-    recall, F1 and ROC-AUC, with the cross-validated ROC-AUC.  Learners that
-    take weights get balanced classes."""
+    recall, F1 and ROC-AUC, with the cross-validated ROC-AUC.
+
+    ``balance``: "weights" gives learners that take weights balanced classes,
+    "smote" gives all learners synthetic rows of the smaller class, made from
+    each training part alone, "none" leaves the classes as they are."""
+    if balance not in ("weights", "smote", "none"):
+        raise ValueError(f"unknown balance: {balance}")
     split = written_table(class_weights(stratified_split(data, PERSON, label, 0.2, SEED), label), "compare-split")
     train, test = right_sized(split.filter("split = 'train'")), right_sized(split.filter("split = 'test'"))
-    balanced = {name: learner.copy() for name, learner in (learners or classifiers(label)).items()}
-    for learner in balanced.values():
-        if learner.hasParam("weightCol"):
+    learning = {name: learner.copy() for name, learner in (learners or classifiers(label)).items()}
+    for learner in learning.values():
+        if balance == "weights" and learner.hasParam("weightCol"):
             learner.set(learner.weightCol, "weight")
-
-    def held_out(name: str) -> DataFrame:
-        model = with_vector(balanced[name], features).fit(train)
-        predicted = probability_of_one(model, test).select(label, F.col("prediction").cast("int").alias("prediction"), "score")
-        return written_table(predicted, "compared")
-
-    predictions = dict(zip(balanced, _side_by_side(held_out, list(balanced), data)))
     folded = right_sized(written_table(stratified_folds(train.drop("split"), PERSON, label, folds, SEED), "folds"))
-    validated = _fold_scores(folded, features, label, balanced, folds)
-    rows = None
-    for name, held in predictions.items():
-        area = total_of(roc_auc(held, label, "score"), F.max("roc_auc"))
-        row = classification_metrics(held, label, "prediction").filter("class = 1").select(
-            F.lit(name).alias("model"),
-            "accuracy",
-            "precision",
-            "recall",
-            "f1",
-            area.alias("roc_auc"),
-            F.lit(statistics.fmean(validated[name])).alias("cv_roc_auc_mean"),
-            F.lit(statistics.pstdev(validated[name])).alias("cv_roc_auc_std"),
-        )
-        rows = row if rows is None else rows.unionByName(row)
-    return rows.orderBy(F.desc("roc_auc"), "model")
+    whole = -1  # beside the folds: all of the training part against the test part
+    scores = held_out_scores({whole: (train, test), **_fold_parts(folded, folds)}, features, label, learning, balance)
+    areas = written_table(roc_auc_by(scores, ["model", "fold"], "label", "score"), "areas")
+    validated = areas.filter(F.col("fold") != whole).groupBy("model").agg(
+        F.avg("roc_auc").alias("cv_roc_auc_mean"), F.stddev_pop("roc_auc").alias("cv_roc_auc_std")
+    )
+    right, found, actual = F.col("label") == F.col("prediction"), F.col("prediction") == 1, F.col("label") == 1
+    counts = scores.filter(F.col("fold") == whole).groupBy("model").agg(
+        F.avg(right.cast("int")).alias("accuracy"),
+        F.count_if(right & found).alias("_hits"),
+        F.count_if(found).alias("_found"),
+        F.count_if(actual).alias("_actual"),
+    )
+    precision, recall = (F.coalesce(ratio(F.col("_hits"), F.col(c)), F.lit(0.0)) for c in ("_found", "_actual"))
+    measures = counts.select(
+        "model",
+        "accuracy",
+        precision.alias("precision"),
+        recall.alias("recall"),
+        F.coalesce(F.try_divide(2 * precision * recall, precision + recall), F.lit(0.0)).alias("f1"),
+    )
+    held = areas.filter(F.col("fold") == whole).select("model", "roc_auc")
+    # a row per learner
+    return measures.join(held, "model").join(validated, "model").orderBy(F.desc("roc_auc"), "model")
 
 
 def tune_model(

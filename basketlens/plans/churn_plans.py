@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from basketlens.functions.shared_tables import written_table
 from basketlens.operators import churn, classifiers
+from basketlens.operators.neighbours import nearest_in_group
+from basketlens.operators.smote import smote_rows
 from basketlens.plans.base import TABLES, Plan, retail, rounded, sql
 from basketlens.plans.feature_plans import AFFINITY, LIFETIME, ORDER_VALUES, SCORE_CTES
 from basketlens.sources.star_schema import load_star_schema, read_table
@@ -120,7 +122,57 @@ def _compare(spark, folder):
 
 def _cross_validate(spark, folder):
     learner = LogisticRegression(labelCol="churned", maxIter=100)
-    return rounded(classifiers.cross_validation_table(_ahead_data(spark, folder), churn.RFM_FEATURES, "churned", learner))
+    return rounded(classifiers.cross_validate(_ahead_data(spark, folder), churn.RFM_FEATURES, "churned", learner))
+
+
+def _compare_smote(spark, folder):
+    learners = {n: m for n, m in classifiers.classifiers("churned").items() if n in ("Logistic Regression", "Naive Bayes")}
+    return rounded(classifiers.compare_models(_ahead_data(spark, folder), churn.RFM_FEATURES, "churned", learners, balance="smote"))
+
+
+# Documents with a toxic label, and three counts of their texts.
+MARKED = """SELECT doc_id, toxic, CAST(n_chars AS DOUBLE) AS chars, CAST(length(text) - length(replace(text, ' ', '')) AS DOUBLE) AS spaces,
+    CAST(length(text) - length(replace(text, 'e', '')) AS DOUBLE) AS es FROM documents JOIN labels USING (doc_id) WHERE doc_id % 5 > 0"""
+COUNTS = ["chars", "spaces", "es"]
+
+
+def _marked(spark, folder):
+    """The training part: documents whose doc_id 5 does not divide."""
+    documents, labels = read_table(spark, folder, "documents"), read_table(spark, folder, "labels")
+    length = lambda c: F.length(F.replace("text", F.lit(c)))
+    counts = [F.col("n_chars"), F.length("text") - length(" "), F.length("text") - length("e")]
+    joined = documents.filter("doc_id % 5 > 0").join(labels, "doc_id")
+    return joined.select("doc_id", "toxic", *[c.cast("double").alias(n) for c, n in zip(counts, COUNTS)])
+
+
+# All pairs of one class, the nearest first; distances add up column by column.
+NEAREST = f"""SELECT a.doc_id, a.toxic, b.doc_id AS neighbour, {" + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in COUNTS)} AS gap,
+    row_number() OVER (PARTITION BY a.doc_id ORDER BY {" + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in COUNTS)}, b.doc_id) AS rank
+    FROM marked a JOIN marked b ON a.toxic = b.toxic AND a.doc_id <> b.doc_id QUALIFY rank <= 5"""
+BITS = "CAST('0x' || substr(md5(concat_ws('_', doc_id, copy, 42, '{what}')), 1, 8) AS BIGINT)"
+SMOTE = f"""SELECT c.doc_id, c.toxic, c.copy, c.neighbour, c.share, {", ".join(f"a.{x} + c.share * (b.{x} - a.{x}) AS {x}" for x in COUNTS)} FROM
+    (SELECT c.*, n.neighbour FROM (SELECT *, {BITS.format(what="neighbour")} % held AS pick, {BITS.format(what="share")} / 4294967296.0::DOUBLE AS share FROM
+    (SELECT doc_id, toxic, held, CAST(unnest(range(1, (most - n) // n + CAST(r <= (most - n) % n AS INTEGER) + 1)) AS INTEGER) AS copy FROM
+    (SELECT *, max(n) OVER () AS most, least(n - 1, 5) AS held FROM (SELECT doc_id, toxic, count(*) OVER (PARTITION BY toxic) AS n,
+    row_number() OVER (PARTITION BY toxic ORDER BY md5(doc_id || '_42'), doc_id) AS r FROM marked)))) c
+    JOIN nearest n ON n.doc_id = c.doc_id AND n.rank = pick + 1) c
+    JOIN marked a ON a.doc_id = c.doc_id JOIN marked b ON b.doc_id = c.neighbour"""
+
+
+def _nearest(spark, folder):
+    found = nearest_in_group(_marked(spark, folder), "doc_id", "toxic", COUNTS)
+    listed = found.select("doc_id", "toxic", F.posexplode("neighbours").alias("rank", "n"))
+    return rounded(listed.select("doc_id", "toxic", (F.col("rank") + 1).alias("rank"), F.col("n.key").alias("neighbour"), F.col("n.distance").alias("distance")))
+
+
+def _smote(spark, folder):
+    return rounded(smote_rows(_marked(spark, folder), "doc_id", "toxic", COUNTS))
+
+
+def _areas(spark, folder):
+    """How well the value tells purchases, hour by hour."""
+    scored = _events(spark, folder).withColumn("hour", (F.col("event_id") % 24).cast("int"))
+    return rounded(classifiers.roc_auc_by(scored, ["hour"], "label", "score"))
 
 
 def _tune(spark, folder):
@@ -171,6 +223,24 @@ PLANS = {
         f"""WITH scored AS ({EVENTS}), steps AS ({STEPS}) SELECT CAST(sum(p) AS BIGINT) AS positives, CAST(sum(n) AS BIGINT) AS negatives,
         round(CAST(sum((tp - p) * n + p * n / 2.0) AS DOUBLE) / (CAST(sum(p) AS DOUBLE) * sum(n)), 6) AS roc_auc FROM steps""",
     ),
+    "roc_auc_by_group": Plan(
+        _areas,
+        """SELECT hour, CAST(sum(p) AS BIGINT) AS positives, CAST(sum(n) AS BIGINT) AS negatives, round(CAST(sum((tp - p) * n + p * n / 2.0)
+        AS DOUBLE) / (CAST(sum(p) AS DOUBLE) * sum(n)), 6) AS roc_auc FROM (SELECT hour, score, sum(label) AS p, count(*) - sum(label) AS n,
+        sum(sum(label)) OVER (PARTITION BY hour ORDER BY score DESC) AS tp FROM (SELECT CAST(event_id % 24 AS INTEGER) AS hour,
+        "value" AS score, CAST(event_type = 'purchase' AS INTEGER) AS label FROM events) GROUP BY hour, score) GROUP BY hour""",
+    ),
+    "nearest_in_group": Plan(
+        _nearest,
+        f"""WITH marked AS ({MARKED}), nearest AS ({NEAREST}) SELECT doc_id, toxic, CAST(rank AS INTEGER) AS rank, neighbour,
+        round(sqrt(gap), 6) AS distance FROM nearest""",
+    ),
+    "smote_rows": Plan(
+        _smote,
+        f"""WITH marked AS ({MARKED}), nearest AS ({NEAREST}) SELECT doc_id, toxic, copy, neighbour, round(share, 6) AS share,
+        {", ".join(f"round({c}, 6) AS {c}" for c in COUNTS)} FROM ({SMOTE})""",
+    ),
+    "compare_models_smote": Plan(_compare_smote),
     "class_weights": Plan(
         _weights,
         """SELECT event_id, event_type, round(CAST((SELECT count(*) FROM events) AS DOUBLE) / ((SELECT count(DISTINCT event_type)
