@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from basketlens.operators import baskets, content, evaluation, factorization, recommend
+from basketlens.operators import baskets, content, evaluation, factorization, matching, recommend
 from basketlens.operators.recommend import Recommender
 from tests.conftest import brute_pairs, one, rows
 
@@ -140,31 +140,67 @@ def test_short_list(spark):
     assert (found["v"]["precision_at_k"], found["v"]["precision_at_returned"], found["v"]["ndcg"]) == (0.0, 0.0, 0.0)
 
 
-@pytest.mark.parametrize("catalogue", ["small", "large"])
-def test_matches_equal_brute_force(spark, monkeypatch, catalogue):
-    monkeypatch.setattr(content, "BLOCK_ITEMS", 7)
-    monkeypatch.setattr(content, "fits_broadcast", lambda items: catalogue == "small")
+def made_vectors(kind):
     rng = np.random.default_rng(0)
+    if kind == "clusters":
+        return rng.normal(size=(6, 6))[np.arange(90) % 6] + rng.normal(size=(90, 6)) * 0.02
     vectors = rng.normal(size=(90, 6))
-    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "id long, v array<double>")
-    found = content.similar_items(df, "id", "v", 4)
-    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    if kind == "lengths":
+        return vectors * rng.exponential(size=(90, 1)) ** 3
+    if kind == "copies":
+        vectors[20:60] = vectors[3]
+    return vectors
+
+
+@pytest.mark.parametrize("kind,broadcast", [("noise", True), ("clusters", False), ("copies", True), ("lengths", False)])
+def test_matches_equal_brute_force(spark, monkeypatch, request, kind, broadcast):
+    if not broadcast:
+        request.getfixturevalue("no_broadcast")
+    monkeypatch.setattr(matching, "BLOCK_ITEMS", 7)
+    monkeypatch.setattr(matching, "PROFILES_AT_ONCE", 20)
+    vectors, rng = made_vectors(kind), np.random.default_rng(1)
+    gone = {(int(w), int(p)) for w, p in zip(rng.integers(0, 90, 300), rng.integers(0, 100, 300))} | {(5, p) for p in range(88)}
+    profiles = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "who long, profile array<double>")
+    length = np.square(vectors).sum(1)
+    order = -length if kind == "lengths" else vectors[:, 0]
+    items = spark.createDataFrame([(i, v.tolist(), float(o)) for (i, v), o in zip(enumerate(vectors), order)], "product_id long, unit array<double>, place double")
+    excluded = spark.createDataFrame(sorted(gone) * 2, "who long, product_id long")
+    report = {}
+    found = rows(matching.best_matches(profiles, excluded, items, ["place", "product_id"], 4, report).select("who", "rank", "product_id"))
+    scores = np.round(vectors @ vectors.T, matching.DIGITS)
+    want = []
+    for i in range(90):
+        left = sorted((-scores[i, j], j) for j in range(90) if (i, j) not in gone)[:4]
+        want += [(i, r, j) for r, (_, j) in enumerate(left, 1)]
+    assert found == sorted(want, key=repr)
+    assert report["asked"] <= report["all"] == 90 * 13
+    if kind in ("clusters", "lengths"):
+        assert report["asked"] < 0.5 * report["all"]
+    if kind == "noise":
+        assert matching.best_matches(profiles.limit(0), excluded, items, ["place"], 4).isEmpty()
+        assert matching.best_matches(profiles, excluded, items.limit(0), ["place"], 4).isEmpty()
+
+
+def test_similar_items_leave_the_item_out(spark):
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(made_vectors("noise"))], "id long, v array<double>")
+    unit = made_vectors("noise") / np.linalg.norm(made_vectors("noise"), axis=1, keepdims=True)
     cosines = unit @ unit.T
     np.fill_diagonal(cosines, -9)
-    expected = {i: set(np.argsort(-cosines[i])[:4].tolist()) for i in range(90)}
     got = {}
-    for r in found.collect():
+    for r in content.similar_items(df, "id", "v", 4).collect():
         got.setdefault(r["id"], set()).add(r["neighbour"])
-    assert got == expected
+    assert got == {i: set(np.argsort(-cosines[i])[:4].tolist()) for i in range(90)}
+
+
+def entries_of(spark, matrix):
+    made = [(f"u{i}", f"p{j}", int(i), int(j), int(matrix[i, j])) for i, j in zip(*np.nonzero(matrix))]
+    return spark.createDataFrame(made, "customer_unique_id string, product_id string, user_index long, item_index long, purchases long")
 
 
 def test_singular_values(spark):
     rng = np.random.default_rng(2)
     matrix = np.where(rng.random((40, 30)) < 0.4, rng.integers(1, 9, (40, 30)), 0)
-    entries = spark.createDataFrame(
-        [(int(i), int(j), int(matrix[i, j])) for i, j in zip(*np.nonzero(matrix))], "user_index long, item_index long, purchases long"
-    )
-    values, left, right = factorization.truncated_svd(entries, 4, 8)
+    values, left, right = factorization.truncated_svd(entries_of(spark, matrix), 4, 8)
     np.testing.assert_allclose(values, np.linalg.svd(matrix, compute_uv=False)[:4], rtol=2e-2)
     assert values[0] == pytest.approx(np.linalg.svd(matrix, compute_uv=False)[0], rel=1e-6)
     u = np.array([r["v"] for r in left.collect()])
@@ -172,6 +208,51 @@ def test_singular_values(spark):
     assert right.count() == 30
 
 
+def test_factors_of_both_sides_and_their_lists(spark, monkeypatch):
+    """A matrix of rank 4 is found exactly: factors, expectations and lists."""
+    monkeypatch.setattr(matching, "BLOCK_ITEMS", 5)
+    rng = np.random.default_rng(3)
+    matrix = rng.integers(0, 3, (40, 4)) @ (rng.integers(0, 3, (4, 30)) * (rng.random(30) < 0.8))
+    matrix[7] = 0
+    entries = entries_of(spark, matrix)
+    values, left, right = factorization.truncated_svd(entries, 4, 8)
+    table = factorization.factor_table(left, right).collect()
+    u, v = np.zeros((40, 4)), np.zeros((30, 4))
+    for r in table:
+        (u if r["side"] == "user" else v)[r["index"], r["factor"]] = r["value"]
+    for side in (u, v):
+        np.testing.assert_allclose(side.T @ side, np.eye(4), atol=1e-6)
+    full = np.linalg.svd(matrix)
+    np.testing.assert_allclose(values, full[1][:4], rtol=1e-8)
+    np.testing.assert_allclose((u * values) @ v.T, matrix, atol=1e-6)
+    lists = {}
+    for r in factorization.recommend_factors(entries, 3, 4, 8).collect():
+        lists.setdefault(r["customer_id"], []).append((r["rank"], r["product_id"], r["score"]))
+    assert "u7" not in lists
+    held = np.flatnonzero(matrix.any(0))
+    for i in np.flatnonzero(matrix.any(1)):
+        new = [j for j in held if matrix[i, j] == 0]
+        assert len(lists.get(f"u{i}", [])) == min(3, len(new))
+        for _, product, score in lists.get(f"u{i}", []):
+            assert matrix[i, int(product[1:])] == 0 and score == pytest.approx(0, abs=1e-6)
+
+
+def test_lists_from_factors_equal_dense_decomposition(spark, monkeypatch):
+    monkeypatch.setattr(matching, "BLOCK_ITEMS", 5)
+    rng = np.random.default_rng(6)
+    matrix = np.where(rng.random((50, 36)) < 0.3, rng.integers(1, 9, (50, 36)), 0) * rng.integers(1, 6, 36)
+    u, s, vt = np.linalg.svd(matrix, full_matrices=False)
+    expected = (u[:, :5] * s[:5]) @ vt[:5]
+    got, report = {}, {}
+    for r in factorization.recommend_factors(entries_of(spark, matrix), 4, 5, 60, report).collect():
+        got.setdefault(r["customer_id"], {})[r["rank"]] = (r["product_id"], r["score"])
+    for i in range(50):
+        order = [j for j in np.argsort(-expected[i]) if matrix[i, j] == 0][:4]
+        assert [got[f"u{i}"][n][0] for n in range(1, 5)] == [f"p{j}" for j in order]
+        assert [got[f"u{i}"][n][1] for n in range(1, 5)] == pytest.approx(expected[i, order], abs=1e-5)
+    assert report["asked"] < report["all"]
+
+
 def test_decay(shop):
     ds = shop(orders=[("a", "c", "2020-01-01"), ("b", "c", "2020-01-31")], items=[("a", "p", 1), ("b", "p", 1)], customers=[("c", "u")])
     assert rows(recommend.decayed_popularity(ds).select("product_id", "weight")) == [("p", 1.5)]
