@@ -157,7 +157,7 @@ def basket_recommend(rules: DataFrame, baskets: DataFrame, k: int = 5) -> DataFr
     return top_per_group(new, ["basket"], [F.desc("score"), F.asc("item")], k).withColumn("method", F.lit("market_basket"))
 
 
-def frequent_itemsets_fpgrowth(lines: DataFrame, min_support: float = 0.01, min_confidence: float = 0.3) -> DataFrame:
+def frequent_itemsets_fpgrowth(lines: DataFrame, min_support: float = 0.01) -> DataFrame:
     """Itemsets of any size by FP-growth: (items, freq).
 
     Only items that are frequent themselves enter the lists, so a list has at
@@ -169,5 +169,55 @@ def frequent_itemsets_fpgrowth(lines: DataFrame, min_support: float = 0.01, min_
     # every basket counts in the denominator, also one without frequent items
     all_baskets = lines.select("order_id").distinct()
     baskets = all_baskets.join(lists, "order_id", "left").select(F.coalesce("items", F.array()).alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
-    return model.freqItemsets
+    return FPGrowth(itemsCol="items", minSupport=min_support).fit(baskets).freqItemsets
+
+
+def itemset_rules(
+    lines: DataFrame, min_support: float = 0.01, min_confidence: float = 0.3, min_lift: float = 1.0
+) -> DataFrame:
+    """antecedent (a sorted array of one or more items) -> consequent, with
+    support, confidence and lift, from frequent itemsets of all sizes.
+
+    A frequent set of n items has n subsets of n - 1 items, all of them
+    frequent, so every rule is a set joined to one a step below it; nothing
+    is counted again."""
+    sets = frequent_itemsets_fpgrowth(lines, min_support).select(F.array_sort("items").alias("items"), "freq")
+    sets = written_table(sets, "itemsets")
+    total = total_of(lines, F.count_distinct("order_id"))
+    each = sets.filter(F.size("items") > 1).select("items", "freq", F.explode("items").alias("consequent"))
+    steps = each.select("consequent", F.filter("items", lambda x: x != F.col("consequent")).alias("antecedent"), "freq")
+    below = sets.select(F.col("items").alias("antecedent"), F.col("freq").alias("_below"))
+    single = sets.filter(F.size("items") == 1).select(F.get("items", F.lit(0)).alias("consequent"), F.col("freq").alias("_single"))
+    known = lookup(steps.join(below, "antecedent"), single, "consequent", "inner")
+    confidence = ratio(F.col("freq"), F.col("_below"))
+    rules = known.select(
+        "antecedent",
+        "consequent",
+        ratio(F.col("freq"), total).alias("support"),
+        confidence.alias("confidence"),
+        (confidence / ratio(F.col("_single"), total)).alias("lift"),
+    )
+    return rules.filter((F.col("confidence") >= min_confidence) & (F.col("lift") >= min_lift))
+
+
+def basket_recommend_sets(rules: DataFrame, baskets: DataFrame, k: int = 5) -> DataFrame:
+    """As ``basket_recommend``, by rules of ``itemset_rules``: a rule matches
+    when the basket holds all items of its antecedent.
+
+    A basket meets a rule at one item only, the one that the fewest rules
+    have, and the others are looked up in the basket's own list."""
+    rules = written_table(rules.select("antecedent", "consequent", (F.col("confidence") * F.col("lift")).alias("score")), "set-rules")
+    used = rules.select(F.explode("antecedent").alias("item")).groupBy("item").agg(F.count("*").alias("_rules"))
+    held = baskets.filter(F.col("basket").isNotNull() & F.col("item").isNotNull()).select("basket", "item").distinct()
+    # Items of no rule matter to no match.
+    own = lookup(held, used, "item", "inner").drop("_rules")
+    lists = own.groupBy("basket").agg(F.collect_set("item").alias("held"))
+    places = rules.withColumn("item", F.explode("antecedent"))
+    rarest = lookup(places, used, "item", "inner").groupBy("antecedent", "consequent").agg(
+        F.min(F.struct("_rules", "item"))["item"].alias("item"), F.first("score").alias("score")
+    )
+    met = lookup(lists.withColumn("item", F.explode("held")), rarest, "item", "inner")
+    matched = met.filter(F.size(F.array_except("antecedent", "held")) == 0)
+    best = matched.groupBy("basket", F.col("consequent").alias("item")).agg(F.max("score").alias("score"))
+    new = best.join(held, ["basket", "item"], "left_anti")
+    return top_per_group(new, ["basket"], [F.desc("score"), F.asc("item")], k).withColumn("method", F.lit("market_basket"))

@@ -45,22 +45,44 @@ def _itemsets(ds):
     return found.select(F.concat_ws("|", F.array_sort("items")).alias("items"), "freq")
 
 
-def _itemset_sql() -> str:
-    """Itemsets of 1 to 4 items; none of 4 items is frequent in these tables."""
+def _sets_sql(support: float) -> str:
+    """Sorted lists of 1 to 4 items; none of 5 items is frequent in these tables."""
     selects = []
     for size in range(1, 5):
         names = "abcd"[:size]
         joins = f"held {names[0]} " + " ".join(
             f"JOIN held {y} ON {x}.order_id = {y}.order_id AND {x}.item < {y}.item" for x, y in zip(names, names[1:])
         )
-        items = " || '|' || ".join(f"{n}.item" for n in names)
+        items = ", ".join(f"{n}.item" for n in names)
         selects.append(
-            f"SELECT {items} AS items, count(*) AS freq FROM {joins} GROUP BY ALL "
-            f"HAVING count(*) >= ceil({ITEMSET_SUPPORT} * (SELECT count(DISTINCT order_id) FROM d_items))"
+            f"SELECT [{items}] AS items, count(*) AS freq FROM {joins} GROUP BY ALL "
+            f"HAVING count(*) >= ceil({support} * (SELECT count(DISTINCT order_id) FROM d_items))"
         )
     return " UNION ALL ".join(selects)
 
 
+RULE_SUPPORT = 0.001  # low enough for sets of three items
+SET_RULES = f"""SELECT antecedent, consequent, s.freq / total AS support, s.freq / b.freq AS confidence, s.freq / b.freq / (c.freq / total) AS lift
+    FROM (SELECT freq, consequent, list_filter(items, lambda x: x <> consequent) AS antecedent
+    FROM (SELECT items, freq, unnest(items) AS consequent FROM sets WHERE len(items) > 1)) s JOIN sets b ON b.items = antecedent
+    JOIN sets c ON c.items = [consequent], (SELECT CAST(count(DISTINCT order_id) AS DOUBLE) AS total FROM d_items)
+    WHERE s.freq / b.freq >= {CONFIDENCE} AND s.freq / b.freq / (c.freq / total) >= 1.0"""
+
+
+def _set_rules(ds):
+    return baskets.itemset_rules(baskets.basket_lines(ds), RULE_SUPPORT, CONFIDENCE, 1.0)
+
+
+def _named_rules(ds):
+    return _set_rules(ds).withColumn("antecedent", F.concat_ws("|", "antecedent"))
+
+
+def _recommend_by_sets(ds):
+    held = baskets.basket_lines(ds).select(F.col("order_id").alias("basket"), "item").filter("item IS NOT NULL")
+    rules = _set_rules(ds).withColumns({"confidence": F.round("confidence", 6), "lift": F.round("lift", 6)})
+    return baskets.basket_recommend_sets(rules, held, K)
+
+
 # --- recommendations ---------------------------------------------------------
 
 
@@ -262,7 +284,22 @@ PLANS = {
             WHERE NOT EXISTS (SELECT 1 FROM held x WHERE x.order_id = h.order_id AND x.item = consequent) GROUP BY ALL))
             WHERE rank <= {K}""", **BASKET_CTES),
     ),
-    "frequent_itemsets_fpgrowth": Plan(retail(_itemsets), sql(_itemset_sql(), held=HELD)),
+    "frequent_itemsets_fpgrowth": Plan(retail(_itemsets), sql("SELECT array_to_string(items, '|') AS items, freq FROM sets",
+        held=HELD, sets=_sets_sql(ITEMSET_SUPPORT))),
+    "itemset_rules": Plan(
+        retail(_named_rules),
+        sql("""SELECT array_to_string(antecedent, '|') AS antecedent, consequent, round(support, 6) AS support,
+            round(confidence, 6) AS confidence, round(lift, 6) AS lift FROM set_rules""",
+            held=HELD, sets=_sets_sql(RULE_SUPPORT), set_rules=SET_RULES),
+    ),
+    "basket_recommend_sets": Plan(
+        retail(_recommend_by_sets),
+        sql(f"""SELECT basket, item, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank, 'market_basket' AS method FROM
+            (SELECT *, row_number() OVER (PARTITION BY basket ORDER BY score DESC, item) AS rank FROM (SELECT h.basket, consequent AS item,
+            max(round(confidence, 6) * round(lift, 6)) AS score FROM (SELECT order_id AS basket, list(item) AS items FROM held GROUP BY 1) h
+            JOIN set_rules ON list_has_all(h.items, antecedent) AND NOT list_contains(h.items, consequent) GROUP BY ALL)) WHERE rank <= {K}""",
+            held=HELD, sets=_sets_sql(RULE_SUPPORT), set_rules=SET_RULES),
+    ),
     "popularity": Plan(
         retail(recommend.popularity),
         sql("SELECT product_id, count(*) AS purchase_count, category FROM d_items LEFT JOIN d_products USING (product_id) GROUP BY ALL"),

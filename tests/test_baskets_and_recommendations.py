@@ -1,3 +1,4 @@
+import itertools
 import random
 from collections import Counter
 
@@ -140,6 +141,45 @@ def test_short_list(spark):
     assert (found["v"]["precision_at_k"], found["v"]["precision_at_returned"], found["v"]["ndcg"]) == (0.0, 0.0, 0.0)
 
 
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_rules_of_any_size_equal_counting(spark, request, broadcast):
+    if not broadcast:
+        request.getfixturevalue("no_broadcast")
+    rnd = random.Random(4)
+    held = {b: set(rnd.sample("ABCDEF", rnd.randint(0, 5))) for b in range(60)}
+    held[60] = {"A", "B", "C", "D"}
+    lines = [(b, i, 1) for b, items in held.items() for i in items] + [(b, None, 1) for b in held]
+    table = spark.createDataFrame(lines, "order_id long, item string, n long")
+    count = lambda items: sum(set(items) <= h for h in held.values())
+    n, want = len(held), {}
+    for size in range(2, 6):
+        for items in itertools.combinations("ABCDEF", size):
+            if count(items) >= 0.05 * n:
+                for c in items:
+                    rest = tuple(x for x in items if x != c)
+                    confidence = count(items) / count(rest)
+                    lift = confidence / (count([c]) / n)
+                    if confidence >= 0.4 and lift >= 1.0:
+                        want[rest, c] = (count(items) / n, confidence, lift)
+    rules = baskets.itemset_rules(table, 0.05, 0.4, 1.0)
+    found = {(tuple(r["antecedent"]), r["consequent"]): (r["support"], r["confidence"], r["lift"]) for r in rules.collect()}
+    assert found.keys() == want.keys() and any(len(a) == 3 for a, _ in found)
+    for key, figures in want.items():
+        assert found[key] == pytest.approx(figures)
+    asked = spark.createDataFrame([(b, i) for b, h in held.items() for i in h] + [(99, "Z"), (99, None)], "basket long, item string")
+    got = {}
+    for r in baskets.basket_recommend_sets(rules, asked, 2).collect():
+        got.setdefault(r["basket"], []).append((r["item"], pytest.approx(r["score"])))
+    for b, h in held.items():
+        scores = {}
+        for (a, c), (_, confidence, lift) in want.items():
+            if set(a) <= h and c not in h:
+                scores[c] = max(scores.get(c, 0), confidence * lift)
+        best = sorted(scores.items(), key=lambda e: (-e[1], e[0]))[:2]
+        assert got.get(b, []) == best
+    assert 99 not in got
+
+
 def made_vectors(kind):
     rng = np.random.default_rng(0)
     if kind == "clusters":
