@@ -64,8 +64,13 @@ def value_lists(df: DataFrame, columns: list[str], counts: DataFrame, limit: int
     return values.groupBy("column", "value").agg(F.count("*").alias("n"))
 
 
-def profile_columns(df: DataFrame) -> DataFrame:
-    """Type, nulls, distinct values and range of each column."""
+def profile_columns(df: DataFrame, approx: bool = False) -> DataFrame:
+    """Type, nulls, distinct values and range of each column.  ``approx``
+    estimates distinct values by a sketch and reads the table once."""
+    if approx:
+        from basketlens.operators import sketches
+
+        return sketches.profile_of(sketches.profile_sketch(df))
     df = without_nan(df)
     texts, numbers = text_columns(df), numeric_columns(df)
     types = [F.struct(F.lit(i).alias("position"), F.lit(c).alias("column"), F.lit(t).alias("type")) for i, (c, t) in enumerate(df.dtypes)]

@@ -7,7 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketlens.operators import cleaning, profiling
+from basketlens.functions.scalars import text_columns
+from basketlens.operators import cleaning, profiling, sketches
 from basketlens.operators.kpis import describe_numeric
 from basketlens.plans.base import Plan, rounded
 from basketlens.plans.kpi_plans import describe_sql
@@ -117,6 +118,14 @@ def _profile_sql(name, text, numbers, texts, others) -> str:
     return " UNION ALL ".join(parts)
 
 
+def _approx_profile(df):
+    """The profile by sketches, and whether its distinct counts are close."""
+    exact = profiling.distinct_counts(df, text_columns(df)).withColumnRenamed("n_distinct", "_exact")
+    close = F.abs(F.col("n_distinct") - F.col("_exact")) <= sketches.ERROR_BOUND * F.col("_exact")
+    found = profiling.profile_columns(df, approx=True).join(exact, "column", "left")
+    return found.withColumn("close", F.coalesce(close, F.lit(True))).drop("n_distinct", "_exact")
+
+
 def _outlier_sql(name, text, numbers, texts, others) -> str:
     return " UNION ALL ".join(
         f"""SELECT '{name}' AS "table", '{c}' AS "column", round(q1, 4) AS q1, round(q3, 4) AS q3, round(lo, 4) AS lower,
@@ -266,6 +275,9 @@ def _dates(df):
 
 PLANS = {
     "profile_columns": Plan(on_tables(profiling.profile_columns), each(_profile_sql)),
+    "profile_columns_approx": Plan(
+        on_tables(_approx_profile), f"SELECT * EXCLUDE (n_distinct), true AS close FROM ({each(_profile_sql)})"
+    ),
     "table_shape": Plan(
         on_tables(profiling.table_shape),
         each(lambda n, text, *kinds: f"""SELECT '{n}' AS "table", count(*) AS "rows", {sum(map(len, kinds))} AS "columns" FROM ({text})"""),
