@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from basketlens.functions.shared_tables import new_path
 from basketlens.operators import charts, features, splits
 from basketlens.plans.base import Plan, retail, rounded, sql
 from basketlens.plans.kpi_plans import PER_PERSON
+from basketlens.sources import keyed_table
 from basketlens.sources.star_schema import load_star_schema, read_table
 
 # sums of exact decimals and one division: the same double in both engines
@@ -105,6 +107,14 @@ def _seen_customers(spark, folder):
     return rounded(features.customer_feature_lookup(features.customer_features(ds), seen), 4, EXACT)
 
 
+def _seen_customers_keyed(spark, folder):
+    """The same from features that are written by key once."""
+    path = new_path(spark, "features")
+    keyed_table.write_keyed(features.customer_features(load_star_schema(spark, folder)), path, features.PERSON, buckets=8)
+    seen = read_table(spark, folder, "events").select(F.col("user_id").alias("customer_unique_id"))
+    return rounded(keyed_table.read_keyed(spark, path, features.PERSON, seen, buckets=8), 4, EXACT)
+
+
 def _event_times(spark, folder):
     events = read_table(spark, folder, "events")
     return features.temporal_preferences(events, "user_id", "ts")
@@ -179,6 +189,11 @@ PLANS = {
         sql(f"SELECT * FROM ({FEATURES}) "
             "WHERE customer_unique_id IN (SELECT user_id FROM events)", **FEATURE_CTES),
     ),
+    "customer_feature_keyed_lookup": Plan(
+        _seen_customers_keyed,
+        sql(f"SELECT * FROM ({FEATURES}) "
+            "WHERE customer_unique_id IN (SELECT user_id FROM events)", **FEATURE_CTES),
+    ),
     "customer_lifetime": Plan(
         retail(_lifetime),
         sql("SELECT * REPLACE (round(avg_days_between_orders, 6) AS avg_days_between_orders, CAST(first_purchase AS DATE) "
