@@ -221,7 +221,7 @@ def _coverage_sql(recs: str) -> str:
         / (SELECT count(*) FROM d_products)"""
 
 
-def _evaluate_sql() -> str:
+def evaluate_sql(methods: tuple[str, ...] = ("popularity", "copurchase", "hybrid")) -> str:
     return " UNION ALL ".join(
         f"""SELECT '{m}' AS method, CAST({K} AS INTEGER) AS k, round(precision_at_k, 6) AS precision_at_k,
         round(precision_at_returned, 6) AS precision_at_returned, round(recall_at_k, 6) AS recall_at_k,
@@ -230,7 +230,7 @@ def _evaluate_sql() -> str:
         round(diversity, 6) AS diversity, round(novelty, 6) AS novelty, customers FROM (SELECT avg(precision_at_k) AS precision_at_k,
         avg(precision_at_returned) AS precision_at_returned, avg(recall_at_k) AS recall_at_k, avg(average_precision) AS map_at_k,
         avg(ndcg) AS ndcg_at_k, avg(diversity) AS diversity, avg(novelty) AS novelty, count(*) AS customers FROM ({scores_sql(m)}))"""
-        for m in ("popularity", "copurchase", "hybrid")
+        for m in methods
     )
 
 
@@ -364,6 +364,6 @@ PLANS = {
     ),
     "novelty": Plan(_held_out(lambda r, t, ds: evaluation.novelty(r, t, ds, K)), _measured("round(avg(novelty), 6) AS novelty")),
     "evaluate_methods": Plan(
-        retail(lambda ds: evaluation.evaluate_methods(ds, k=K, min_support=MIN_SUPPORT)), sql(_evaluate_sql(), **EVALUATION_CTES)
+        retail(lambda ds: evaluation.evaluate_methods(ds, k=K, min_support=MIN_SUPPORT)), sql(evaluate_sql(), **EVALUATION_CTES)
     ),
 }

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from basketlens.operators import baskets, content, evaluation, factorization, matching, recommend
+from basketlens.operators import baskets, content, evaluation, factorization, matching, methods, recommend
 from basketlens.operators.recommend import Recommender
 from tests.conftest import brute_pairs, one, rows
 
@@ -123,6 +123,28 @@ def test_recommendations_keep_their_promises(shop, spark, tmp_path):
         recommend.recommend(model, ds, k=51)
 
 
+def test_all_methods_by_name(shop):
+    ds = shop(
+        orders=[(f"o{i}", f"c{i % 6}", f"2020-01-{i + 1:02}") for i in range(18)],
+        items=[(f"o{i}", f"p{j}", 1 + j) for i in range(18) for j in ((i * 5) % 7, (i * 3) % 7)],
+        products=[(f"p{j}", "AB"[j % 2]) for j in range(7)],
+        customers=[(f"c{i}", f"u{i}") for i in range(6)],
+    )
+    model = Recommender.fit(ds, 1)
+    some = recommend.all_people(ds).filter("who IN ('u1', 'u4')")
+    bought = {(r[0], r[1]) for r in recommend.bought_products(ds).collect()}
+    for method in methods.OTHERS:
+        found = methods.recommend_by(method, model, ds, some, 2)
+        assert set(found.columns) == {"customer_id", "rank", "product_id", "score", "method"}
+        listed = found.collect()
+        assert {r["customer_id"] for r in listed} <= {"u1", "u4"} and all(r["rank"] <= 2 for r in listed)
+        assert not {(r["customer_id"], r["product_id"]) for r in listed} & bought
+    with pytest.raises(ValueError):
+        methods.recommend_by("none", model, ds)
+    with pytest.raises(ValueError):
+        methods.recommend_by("content", model, ds, k=51)
+
+
 def test_ranking_measures(spark):
     recs = spark.createDataFrame([("u", i + 1, p) for i, p in enumerate("ABCDE")], "customer_id string, rank int, product_id string")
     truth = spark.createDataFrame([("u", p) for p in "ACF"], "customer_id string, product_id string")
