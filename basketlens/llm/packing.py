@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketlens.functions.shared_tables import written_table
+from basketlens.llm.tokens import REMEMBERED_CHUNKS
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long"
 PLACED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
@@ -80,7 +81,7 @@ def _places(plan: list[tuple[int, dict[int, int]]]) -> np.ndarray:
     return np.array(sorted(rows), np.int64).reshape(-1, 5)
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int) -> DataFrame:
+def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, remembered: int = REMEMBERED_CHUNKS) -> DataFrame:
     """One row per piece: where it starts in its document, its length, the
     checksum of its ids, and its number among the task's pieces of its length."""
 
@@ -90,10 +91,10 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int) ->
         from basketlens.llm.tokens import encoder
 
         part, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
-        texts_to_ids = encoder(tokenizer, end_id).encode
+        texts_to_ids = encoder(tokenizer, end_id, remembered).encode
         for batch in batches:
             doc_ids, at = batch.column(0).to_pylist(), 0
-            for ids, sizes in texts_to_ids(batch.column(1).to_pylist()):
+            for ids, sizes in texts_to_ids(batch.column(1)):
                 raw = memoryview(ids.astype("<u4")).cast("B")
                 rows, begin = [], 0
                 for size in sizes.tolist():
@@ -116,8 +117,10 @@ def _batch(rows: list[tuple], ddl: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0) -> DataFrame:
-    """Place every piece of every document in a sequence.
+def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, remembered: int = REMEMBERED_CHUNKS) -> DataFrame:
+    """Place every piece of every document in a sequence.  Workers remember
+    the ids of ``remembered`` chunks of text: fewer take less memory and more
+    time.
 
     Null and empty texts hold the end id alone.  Of a document longer than
     ``capacity`` the first piece takes the remainder.  Repeated rows are
@@ -125,7 +128,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id
     empty table gives an empty result, and only ``doc_id`` and ``text`` are
     read, whatever else there is.
     """
-    pieces = written_table(token_pieces(docs, tokenizer, capacity, end_id), "pieces")
+    pieces = written_table(token_pieces(docs, tokenizer, capacity, end_id, remembered), "pieces")
     by_part = pieces.groupBy("length", "part").agg(F.count("*").alias("n"))
     histogram = by_part.groupBy("length").agg(F.sum("n").alias("n")).collect()  # at most ``capacity`` rows
     places = _places(plan_bins({r["length"]: r["n"] for r in histogram}, capacity))

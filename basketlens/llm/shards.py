@@ -125,8 +125,9 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, sh
     and write the shards to ``path``.
 
     Null and empty texts hold the end id alone.  Null keys come first and
-    have no index entry.  Rows with the same key stay next to each other in
-    one shard, in any order, and the index names the first.  A shard is
+    have no index entry.  Rows with the same key, or none, stay next to each
+    other, in the order of the input, over as many shards and tasks as they
+    need; the index of a shard names the first of them in it.  A shard is
     closed at ``shard_tokens``; a longer document has one of its own.  Only
     ``doc_id`` and ``text`` are read; an empty table gives no shards.
     """
@@ -140,11 +141,11 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, sh
         keys, sizes, ids, held = [], [], [], 0
         for batch in batches:
             batch_keys, at = batch.column(0).to_pylist(), 0
-            for flat, counts in encoder(tokenizer, end_id).encode(batch.column(1).to_pylist()):
+            for flat, counts in encoder(tokenizer, end_id).encode(batch.column(1)):
                 begin = 0
                 for size in counts.tolist():
                     key = batch_keys[at]
-                    if keys and held + size > shard_tokens and key != keys[-1]:
+                    if keys and held + size > shard_tokens:
                         yield _record(_shard_row(part, shard, start, keys, sizes, ids))
                         start, shard = start + held, shard + 1
                         keys, sizes, ids, held = [], [], [], 0
@@ -155,8 +156,10 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, sh
         if keys:
             yield _record(_shard_row(part, shard, start, keys, sizes, ids))
 
-    ordered = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-    ordered.mapInArrow(encode, SHARD).write.option("compression", "zstd").parquet(path)
+    # The place in the input cuts what has one key; it costs no look at the text.
+    numbered = docs.select(F.col("doc_id").cast("long"), "text", F.monotonically_increasing_id().alias("nth"))
+    ordered = numbered.repartitionByRange("doc_id", "nth").sortWithinPartitions("doc_id", "nth")
+    ordered.select("doc_id", "text").mapInArrow(encode, SHARD).write.option("compression", "zstd").parquet(path)
 
 
 def _record(row: tuple) -> pa.RecordBatch:
@@ -169,7 +172,7 @@ def open_shards(spark: SparkSession, path: str) -> DataFrame:
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per task that wrote
     totals = shards.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     bases = totals.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    return shards.join(bases, "part").withColumn("base", F.col("base") + F.col("start"))
+    return shards.join(F.broadcast(bases), "part").withColumn("base", F.col("base") + F.col("start"))
 
 
 def read_documents(shards: DataFrame) -> DataFrame:

@@ -22,7 +22,6 @@ FOLDER = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def encoded(plain):
     tokenizer = Tokenizer.from_file(default_tokenizer())
-    tokenizer.encode_special_tokens = True
     return [(i, e.ids) for (i, _), e in zip(plain, tokenizer.encode_batch([t for _, t in plain], add_special_tokens=False))]
 
 
