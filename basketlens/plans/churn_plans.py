@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from basketlens.functions.shared_tables import written_table
@@ -132,16 +134,16 @@ def _compare_smote(spark, folder):
 
 # Documents with a toxic label, and three counts of their texts.
 MARKED = """SELECT doc_id, toxic, CAST(n_chars AS DOUBLE) AS chars, CAST(length(text) - length(replace(text, ' ', '')) AS DOUBLE) AS spaces,
-    CAST(length(text) - length(replace(text, 'e', '')) AS DOUBLE) AS es FROM documents JOIN labels USING (doc_id) WHERE doc_id % 5 > 0"""
+    CAST(length(text) - length(replace(text, 'e', '')) AS DOUBLE) AS es FROM documents JOIN labels USING (doc_id)"""
 COUNTS = ["chars", "spaces", "es"]
 
 
 def _marked(spark, folder):
-    """The training part: documents whose doc_id 5 does not divide."""
+    """All labelled documents, as a training part."""
     documents, labels = read_table(spark, folder, "documents"), read_table(spark, folder, "labels")
     length = lambda c: F.length(F.replace("text", F.lit(c)))
     counts = [F.col("n_chars"), F.length("text") - length(" "), F.length("text") - length("e")]
-    joined = documents.filter("doc_id % 5 > 0").join(labels, "doc_id")
+    joined = documents.join(labels, "doc_id")
     return joined.select("doc_id", "toxic", *[c.cast("double").alias(n) for c, n in zip(counts, COUNTS)])
 
 
@@ -169,6 +171,27 @@ def _smote(spark, folder):
     return rounded(smote_rows(_marked(spark, folder), "doc_id", "toxic", COUNTS))
 
 
+def _naive_bayes(spark, folder):
+    """How toxic the counts of a document make it look to the learner of the
+    comparison that has a closed form."""
+    marked = _marked(spark, folder).dropna()
+    learner = classifiers.classifiers("toxic")["Naive Bayes"]
+    model = Pipeline(stages=[VectorAssembler(inputCols=COUNTS, outputCol="features"), learner]).fit(marked)
+    return rounded(classifiers.probability_of_one(model, marked).select("doc_id", "score"))
+
+
+# Means and variances of each class and count; the largest variance of a
+# count, by 1e-9, is added to all.
+NAIVE_BAYES = f"""WITH marked AS (SELECT * FROM ({MARKED}) WHERE toxic IS NOT NULL AND chars IS NOT NULL AND spaces IS NOT NULL),
+    widest AS (SELECT greatest({", ".join(f"var_pop({c})" for c in COUNTS)}) * 1e-9 AS e FROM marked),
+    class AS (SELECT toxic, ln(count(*)) AS prior, {", ".join(f"avg({c}) AS m_{c}, var_pop({c}) + any_value(e) AS s_{c}" for c in COUNTS)}
+    FROM marked, widest GROUP BY toxic),
+    fit AS (SELECT doc_id, m.toxic, c.toxic AS class, prior - 0.5 * ({" + ".join(f"ln(s_{c}) + ({c} - m_{c}) * ({c} - m_{c}) / s_{c}" for c in COUNTS)}) AS l
+    FROM marked m, class c)
+    SELECT doc_id, round(1 / (1 + exp(any_value(l) FILTER (WHERE class = 0) - any_value(l) FILTER (WHERE class = 1))), 6) + 0.0 AS score
+    FROM fit GROUP BY doc_id"""
+
+
 def _areas(spark, folder):
     """How well the value tells purchases, hour by hour."""
     scored = _events(spark, folder).withColumn("hour", (F.col("event_id") % 24).cast("int"))
@@ -240,6 +263,7 @@ PLANS = {
         f"""WITH marked AS ({MARKED}), nearest AS ({NEAREST}) SELECT doc_id, toxic, copy, neighbour, round(share, 6) AS share,
         {", ".join(f"round({c}, 6) AS {c}" for c in COUNTS)} FROM ({SMOTE})""",
     ),
+    "naive_bayes_scores": Plan(_naive_bayes, NAIVE_BAYES),
     "compare_models_smote": Plan(_compare_smote),
     "class_weights": Plan(
         _weights,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from basketlens.functions.shared_tables import new_path
 from basketlens.operators import baskets, evaluation, recommend, splits
 from basketlens.operators.recommend import Recommender
 from basketlens.plans.base import Plan, retail, rounded, sql
@@ -158,6 +159,13 @@ def _model(ds):
     return Recommender.fit(ds, MIN_SUPPORT)
 
 
+def _saved(spark, folder):
+    """Lists of a recommender that was saved and loaded."""
+    ds, path = load_star_schema(spark, folder), new_path(spark, "model")
+    _model(ds).save(path)
+    return rounded(recommend.recommend(Recommender.load(spark, path), ds, "popularity", k=K))
+
+
 def _explain(ds):
     """Reasons for everything recommended, plus one unknown product each."""
     recs = recommend.recommend(_model(ds), ds, "hybrid", k=K).select(F.col("customer_id").alias("who"), "product_id")
@@ -312,6 +320,7 @@ PLANS = {
         retail(lambda ds: recommend.recommend(_model(ds), ds, "popularity", k=K)),
         sql(result_sql("popular"), **FITTED, popular=popular_sql("people", K)),
     ),
+    "recommend_saved_model": Plan(_saved, sql(result_sql("popular"), **FITTED, popular=popular_sql("people", K))),
     "recommend_copurchase": Plan(
         retail(lambda ds: recommend.recommend(_model(ds), ds, "copurchase", k=K)),
         sql(result_sql("copurchase"), **FITTED, **copurchase_ctes("people", K)),

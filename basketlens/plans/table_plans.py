@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketlens.functions.scalars import text_columns
+from basketlens.functions.shared_tables import new_path
 from basketlens.operators import cleaning, profiling, sketches
 from basketlens.operators.kpis import describe_numeric
 from basketlens.plans.base import Plan, rounded
 from basketlens.plans.kpi_plans import describe_sql
 from basketlens.sources.star_schema import read_table
+from basketlens.sources.versioned_table import VersionedTable
 
 # Tables to profile: SQL, numeric columns, text columns, other columns.
 SOURCES = {
@@ -273,7 +275,20 @@ def _dates(df):
     return cleaning.date_features(typed, "date_text").drop("date_text")
 
 
+def _versions(spark, folder):
+    """Orders written in three steps: all but one status, that one with wrong
+    totals, and its partition again."""
+    orders = read_table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    table = VersionedTable(spark, new_path(spark, "versions"))
+    table.overwrite(orders.filter("o_orderstatus <> 'F'"), ["o_orderstatus"])
+    open_ = orders.filter("o_orderstatus = 'F'")
+    table.append(open_.withColumn("o_totalprice", -F.col("o_totalprice")))
+    table.replace_partitions(open_)
+    return rounded(table.read())
+
+
 PLANS = {
+    "versioned_table": Plan(_versions, "SELECT o_orderkey, o_custkey, o_orderstatus, round(o_totalprice, 6) AS o_totalprice FROM orders"),
     "profile_columns": Plan(on_tables(profiling.profile_columns), each(_profile_sql)),
     "profile_columns_approx": Plan(
         on_tables(_approx_profile), f"SELECT * EXCLUDE (n_distinct), true AS close FROM ({each(_profile_sql)})"
