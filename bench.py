@@ -30,15 +30,19 @@ HEADLINE = [
     "time_split",
     "frequent_pairs",
     "association_rules",
+    "itemset_rules",
     "copurchase_pairs",
     "recommend_popular",
     "recommend_copurchase",
     "recommend_hybrid",
     "recommend_category",
     "recommend_content",
+    "recommend_factors",
     "evaluate_methods",
     "churn_dataset_last_order",
     "churn_dataset_rfm",
+    "smote_rows",
+    "train_churn",
     "compare_models",
     "profile_columns",
     "iqr_outliers",
