@@ -81,6 +81,11 @@ def fit(docs: DataFrame, learned: int = LEARNED_DOCUMENTS, size: int = PROFILE_S
     whose id has the smallest hashes.  Rows without language are left out."""
     first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     sample = docs.filter("lang IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "lang")
+    # Of a large language only ids with small hashes, twice as many as wanted
+    # by their number, meet in a task; a row per language is broadcast.
+    sizes = sample.groupBy("lang").agg(F.count("*").alias("_size"))
+    place = F.xxhash64("doc_id").cast("double") / 2.0**64 + 0.5
+    sample = sample.join(F.broadcast(sizes), "lang").filter(place * F.col("_size") < 2 * learned + 100).drop("_size")
     sample = sample.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= learned).select("doc_id", "lang").distinct()
 
     def count(batches):
