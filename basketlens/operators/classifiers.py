@@ -90,22 +90,33 @@ def _score_steps(df: DataFrame, label: str, score: str) -> DataFrame:
     return running_totals(steps, [F.desc("score")], ["pos", "neg"])
 
 
-def roc_curve(df: DataFrame, label: str, score: str) -> DataFrame:
-    """(threshold, fpr, tpr) for every distinct score."""
+def _thinned(steps: DataFrame, points: int | None) -> DataFrame:
+    """Of all steps those at which one more of ``points`` equal parts of the
+    rows is reached; the last step is always one of them."""
+    if points is None:
+        return steps
+    rows, before = F.col("pos") + F.col("neg"), F.col("pos_before") + F.col("neg_before")
+    total = total_of(steps, F.sum(rows))
+    return steps.filter(F.floor((before + rows) * points / total) > F.floor(before * points / total))
+
+
+def roc_curve(df: DataFrame, label: str, score: str, points: int | None = None) -> DataFrame:
+    """(threshold, fpr, tpr) for every distinct score, or for ``points`` of
+    them at most, evenly over the rows, to draw."""
     steps = _score_steps(df, label, score)
     sums = steps.agg(F.struct(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))).scalar()
-    return steps.select(
+    return _thinned(steps, points).select(
         F.col("score").alias("threshold"),
         ratio(F.col("neg_before") + F.col("neg"), sums["neg"]).alias("fpr"),
         ratio(F.col("pos_before") + F.col("pos"), sums["pos"]).alias("tpr"),
     )
 
 
-def pr_curve(df: DataFrame, label: str, score: str) -> DataFrame:
-    """(threshold, precision, recall) for every distinct score."""
+def pr_curve(df: DataFrame, label: str, score: str, points: int | None = None) -> DataFrame:
+    """(threshold, precision, recall) for the same scores as ``roc_curve``."""
     steps = _score_steps(df, label, score)
     hits = F.col("pos_before") + F.col("pos")
-    return steps.select(
+    return _thinned(steps, points).select(
         F.col("score").alias("threshold"),
         ratio(hits, hits + F.col("neg_before") + F.col("neg")).alias("precision"),
         ratio(hits, total_of(steps, F.sum("pos"))).alias("recall"),

@@ -236,6 +236,12 @@ PLANS = {
         f"""WITH scored AS ({EVENTS}), steps AS ({STEPS}) SELECT round(score, 6) AS threshold, round(CAST(fp AS DOUBLE)
         / (SELECT sum(n) FROM steps), 6) AS fpr, round(CAST(tp AS DOUBLE) / (SELECT sum(p) FROM steps), 6) AS tpr FROM steps""",
     ),
+    "roc_curve_thinned": Plan(
+        lambda spark, folder: rounded(classifiers.roc_curve(_events(spark, folder), "label", "score", points=100)),
+        f"""WITH scored AS ({EVENTS}), steps AS ({STEPS}), total AS (SELECT sum(n + p) AS t FROM steps) SELECT round(score, 6) AS threshold,
+        round(CAST(fp AS DOUBLE) / (SELECT sum(n) FROM steps), 6) AS fpr, round(CAST(tp AS DOUBLE) / (SELECT sum(p) FROM steps), 6) AS tpr
+        FROM steps, total WHERE (tp + fp) * 100 // t > (tp + fp - p - n) * 100 // t""",
+    ),
     "pr_curve": Plan(
         lambda spark, folder: rounded(classifiers.pr_curve(_events(spark, folder), "label", "score")),
         f"""WITH scored AS ({EVENTS}), steps AS ({STEPS}) SELECT round(score, 6) AS threshold, round(CAST(tp AS DOUBLE) / (tp + fp), 6)
