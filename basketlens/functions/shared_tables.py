@@ -42,10 +42,18 @@ def written_table(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def delete_written_tables(spark: SparkSession) -> None:
-    """Remove the intermediate tables of this process once results are out."""
+def delete_written_tables(spark: SparkSession, since: int = 0, keep: int = 0) -> None:
+    """Remove the intermediate tables of this process once results are out:
+    those written after the first ``since``, but for the last ``keep``."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    while _written:
-        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+    end = max(since, len(_written) - keep)
+    for name in _written[since:end]:
+        path = jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(conf).delete(path, True)
+    del _written[since:end]
+
+
+def written_so_far() -> int:
+    """How many intermediate tables there are, for ``since``."""
+    return len(_written)
