@@ -47,10 +47,10 @@ def _itemsets(ds):
 
 
 def _sets_sql(support: float) -> str:
-    """Sorted lists of 1 to 4 items; none of 5 items is frequent in these tables."""
+    """Sorted lists of 1 to 7 items; an order has 7 lines at most."""
     selects = []
-    for size in range(1, 5):
-        names = "abcd"[:size]
+    for size in range(1, 8):
+        names = "abcdefg"[:size]
         joins = f"held {names[0]} " + " ".join(
             f"JOIN held {y} ON {x}.order_id = {y}.order_id AND {x}.item < {y}.item" for x, y in zip(names, names[1:])
         )
@@ -301,8 +301,8 @@ PLANS = {
             held=HELD, sets=_sets_sql(RULE_SUPPORT), set_rules=SET_RULES),
     ),
     "basket_recommend_sets": Plan(
-        retail(_recommend_by_sets),
-        sql(f"""SELECT basket, item, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank, 'market_basket' AS method FROM
+        lambda spark, folder: rounded(_recommend_by_sets(load_star_schema(spark, folder)), keep=("score",)),
+        sql(f"""SELECT basket, item, score, CAST(rank AS INTEGER) AS rank, 'market_basket' AS method FROM
             (SELECT *, row_number() OVER (PARTITION BY basket ORDER BY score DESC, item) AS rank FROM (SELECT h.basket, consequent AS item,
             max(round(confidence, 6) * round(lift, 6)) AS score FROM (SELECT order_id AS basket, list(item) AS items FROM held GROUP BY 1) h
             JOIN set_rules ON list_has_all(h.items, antecedent) AND NOT list_contains(h.items, consequent) GROUP BY ALL)) WHERE rank <= {K}""",
