@@ -141,7 +141,8 @@ def deduplicated(docs: DataFrame, window: int = 50) -> DataFrame:
 
     A word goes if a window of ``window`` words that covers it, in the same
     word sequence, also starts in a document with a smaller doc_id.  Windows
-    are compared by 96 bits of hash.  Null and empty texts have no words.
+    are found by 96 bits of hash, and their words by 64 of these.  Null and
+    empty texts have no words.
     Rows with the same doc_id do not remove each other's words, and a null
     doc_id is smaller than all others.  Only ``doc_id`` and ``text`` are
     read; an empty table gives an empty result.
