@@ -36,8 +36,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     doc_id stay or go together.  Texts without a word are alike.  An empty
     table stays empty."""
     find_package(spark)
+    before = written_so_far()
     found = similar.similar_groups(docs, similarity=0.8, shingle=5, bits=7, words=similar.FINGERPRINTS)
-    others = found.filter("doc_id <> component_id").select("doc_id")
+    others = written_table(found.filter("doc_id <> component_id").select("doc_id"), "near-duplicates")
+    delete_written_tables(spark, before, keep=1)  # the search is over
     return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
 
 
