@@ -195,6 +195,45 @@ def test_similar_groups_find_isolated_pairs_at_the_bound(spark):
     assert joined >= 0.99 * 300
 
 
+def test_bitmaps_lose_no_similar_set():
+    rng = np.random.default_rng(8)
+    for most in (1, 30, 400, 6000):
+        sets = []
+        for _ in range(40):
+            pool = rng.integers(0, 2**63, most).astype(np.uint64)
+            sets += [np.unique(rng.choice(pool, max(1, int(most * share)), replace=False)) for share in (1, 0.97, 0.9, 0.8, 0.6)]
+        a, b = np.triu_indices(len(sets), 1)
+        bitmaps, sizes = np.stack([similar.bitmap_of(s) for s in sets]), np.array([len(s) for s in sets])
+        common = np.array([len(np.intersect1d(sets[i], sets[j], True)) for i, j in zip(a, b)])
+        alike = common >= 0.8 * (sizes[a] + sizes[b] - common)
+        may_be = similar.may_be_similar(bitmaps, sizes, a, b, 0.8)
+        assert alike.any() and may_be[alike].all()
+        assert most in (1, 6000) or not may_be[common == 0].any()
+
+
+def test_a_family_near_but_not_similar_gives_few_pairs(spark):
+    """Texts that share a passage: all close by fingerprints, none similar."""
+    rng = np.random.default_rng(9)
+    vocabulary = np.array([f"w{n}" for n in range(5000)])
+    common = rng.choice(vocabulary, 150)
+    texts = [(n, " ".join([*common, *rng.choice(vocabulary, 50)])) for n in range(200)]
+    texts += [(200, texts[0][1] + " more"), (201, texts[7][1] + " words")]
+    made = similar._described(spark.createDataFrame(texts, "doc_id long, text string"), 5, 8).withColumnRenamed("doc_id", "node")
+    made = made.selectExpr("*", "node AS label", "node = 0 AS main").drop("key")
+    found = {(r["a"], r["b"]) for r in similar.crossing_pairs(made, 15, 8, 0.8).collect()}
+    assert {(0, 200), (7, 201)} <= found and len(found) < 200
+
+
+def test_texts_asked_for_are_met_by_a_bitmap_before_they_move(spark, docs, plain, monkeypatch):
+    monkeypatch.setattr(similar, "ASKED_BITS", 128)  # several ids share a bit
+    asked = docs.filter("doc_id % 9 = 0").selectExpr("CAST(doc_id AS long) doc_id").distinct()
+    found = similar._asked_texts(docs, asked)
+    want = collections.Counter((i, t) for i, t in plain if i is not None and i % 9 == 0)
+    assert collections.Counter((r["doc_id"], r["text"] or "") for r in found.collect()) == want
+    joins = [x for x in found._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Join " in x]
+    assert "word" not in joins[0] and "word" in joins[1]
+
+
 @pytest.mark.parametrize("bits", [3, 7])
 def test_shards_lose_no_link(spark, docs, bits):
     """Close groups over many small shards, a part that all share too."""
