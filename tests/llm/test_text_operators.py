@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from basketlens.llm import anchors, blocks, components, quality, runindex, simhash, similar
+from basketlens.llm import anchors, blocks, components, quality, rolling, runindex, simhash, similar
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -70,6 +70,30 @@ def test_anchors_equal_brute_force(docs, plain, nothing, monkeypatch):
         anchors.deduplicated(docs, window=10)
 
 
+def test_hashes_of_words_hold_few_powers(monkeypatch):
+    texts = [b"", b"one two", b"w" * 700_000, b"some words again " * 60_000, b" x"]
+    words = rolling.Words(texts)
+    want = [rolling.Rolling(rolling.byte_values(words.data, k), k).of(words.starts, words.ends) for k in range(2)]
+    short = rolling.Words([t for t in texts if len(t) != 700_000])
+    monkeypatch.setattr(rolling, "_POWERS", [rolling._Powers(b) for b in rolling._BASES])
+    for k in range(2):
+        short.hashes(k)
+        assert len(rolling._POWERS[k].tables[0]) <= 2 * rolling.GROUP_BYTES
+        assert (words.hashes(k) == want[k]).all()  # a word longer than a group too
+    assert not len(rolling.Words([b"", b" "]).hashes())
+
+
+def test_blocks_are_compressed_once(docs, plain):
+    import pyarrow.parquet as pq
+
+    written = blocks.written_blocks(docs, 5_000)
+    files = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in written.inputFiles()]
+    codecs = {m.row_group(g).column(c).compression for m in files for g in range(m.num_row_groups) for c in range(m.num_columns)}
+    assert codecs == {"UNCOMPRESSED"}
+    found = [t.decode() for r in written.collect() for t in blocks.Block(*(r[c] for c in blocks.COLUMNS)).texts]
+    assert sorted(found) == sorted(t for _, t in plain)
+
+
 def test_difference_cover_has_every_difference():
     assert {(a - b) % anchors.PERIOD for a in anchors.COVER for b in anchors.COVER} == set(range(anchors.PERIOD))
 
