@@ -3,14 +3,15 @@
 Two 64-bit fingerprints that differ in at most 3 bits differ in at most one
 bit of some 32-bit half.  So each half (or smaller part, for more bits) has
 a tree of its own, searched with radius 1, where triangle bounds prune far
-better than with the whole radius over all bits.  The upper levels of a tree, built from a bounded sample, cut the
+better than with the whole radius over all bits.  The levels of a tree, built from a bounded sample, cut the
 space into shards; a fingerprint has its home in one shard and visits those
-whose bound its ball overlaps.  A shard goes on with a tree of its own and
-compares whole fingerprints in the leaves.
+whose bound its ball overlaps.  A shard looks up the values of the part that
+differ in at most one bit and compares whole fingerprints there.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -25,12 +26,14 @@ from basketlens.llm.rolling import mixed
 #: Fingerprints that have their home in one shard, about.
 SHARD_SIZE = 16_384
 #: The same where there are several words: fewer visits for larger shards.
-SHARD_SIZE_OF_WORDS = 131_072
+SHARD_SIZE_OF_WORDS = 524_288
 #: Shards of a part, and fingerprints sampled to place their bounds.
 MOST_SHARDS = 4_096
 SAMPLED_PER_SHARD = 16
 LEAF_SIZE = 64
-BLOCK = 1_024
+BLOCK = 512
+#: Pairs of fingerprints that are compared at once, some 40 bytes each.
+CANDIDATES = 1 << 18
 
 _LOW_BITS = np.uint64(0x0101010101010101)
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -201,26 +204,18 @@ class _Groups:
                 self.roots = jumped
 
 
-def close_pairs(fps: np.ndarray, live: np.ndarray, ask: np.ndarray, part: int, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Places (a, b) of fingerprints of a shard at ``bits`` or fewer differing
-    bits, a among ``ask`` and b among ``live``, in blocks."""
-    parts = parts_for(bits)
-    own_part = _part(fps, part, parts)
+def _tree_pairs(fps: np.ndarray, live: np.ndarray, ask: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """As ``close_pairs``, by a vantage-point tree over all bits."""
     todo = [(live, ask)]
     while todo:
         live, ask = todo.pop()
         if not len(live) or not len(ask):
             continue
-        cut = None
-        if len(live) > LEAF_SIZE:
-            for space, radius in ((own_part, bits // parts), (fps, bits)):  # a part that all share: all bits
-                cut = _split(space[live])
-                if cut is not None:
-                    break
+        cut = _split(fps[live]) if len(live) > LEAF_SIZE else None
         if cut is not None:
-            at = np.bitwise_count(space[ask] ^ cut[0]).astype(np.int64)
-            inner = np.bitwise_count(space[live] ^ cut[0]) <= cut[1]
-            sides = _sides(at, np.zeros(len(ask), bool), cut[1], radius)
+            at = np.bitwise_count(fps[ask] ^ cut[0]).astype(np.int64)
+            inner = np.bitwise_count(fps[live] ^ cut[0]) <= cut[1]
+            sides = _sides(at, np.zeros(len(ask), bool), cut[1], bits)
             children = [(live[inner], ask[sides[0][0]]), (live[~inner], ask[sides[1][0]])]
             if max(len(x[0]) * len(x[1]) for x in children) < 0.9 * len(live) * len(ask):
                 todo.extend(children)
@@ -232,12 +227,84 @@ def close_pairs(fps: np.ndarray, live: np.ndarray, ask: np.ndarray, part: int, b
                 yield a[x], b[y]
 
 
+def _by_value(values: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``places`` in the order of their values, the distinct values, and where
+    each begins and how many there are."""
+    places = places[np.argsort(values[places], kind="stable")]
+    return (places, *np.unique(values[places], return_index=True, return_counts=True))
+
+
+def close_pairs(
+    fps: np.ndarray, live: np.ndarray, ask: np.ndarray, part: int, bits: int, once: bool = False
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places (a, b) of fingerprints of a shard at ``bits`` or fewer differing
+    bits, of which at most one in this part, a among ``ask`` and b among
+    ``live``, in blocks.  ``once``: both are the same places, and pairs of
+    unlike parts come in one order only.
+
+    A value of the part meets itself and the values that differ in one bit,
+    which are looked up among the sorted ones.  Where many share a value, a
+    tree over all bits goes on."""
+    if not len(live) or not len(ask):
+        return
+    parts = parts_for(bits)
+    own = _part(fps, part, parts)
+    live, values, begins, held = _by_value(own, live)
+    ask, asked, firsts, numbers = _by_value(own, ask)
+    fps_live, fps_ask = fps[live], fps[ask]
+    for flip in [0, *(1 << k for k in range(64 // parts))] if bits // parts else [0]:
+        sought = asked ^ np.uint64(flip)
+        at = np.minimum(np.searchsorted(values, sought), len(values) - 1)
+        met = values[at] == sought
+        if once and flip:
+            met &= sought > asked
+        met = np.flatnonzero(met)
+        at = at[met]
+        heavy = held[at] * numbers[met] > BLOCK * BLOCK
+        for i, j in zip(met[heavy], at[heavy]):
+            yield from _tree_pairs(fps, live[begins[j] : begins[j] + held[j]], ask[firsts[i] : firsts[i] + numbers[i]], bits)
+        met, at = met[~heavy], at[~heavy]
+        # a row for each that asks: where what it meets begins, and how many these are
+        many = numbers[met]
+        rows = np.repeat(firsts[met] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+        begin, width = np.repeat(begins[at], many), np.repeat(held[at], many)
+        ends = np.cumsum(width)
+        first = 0
+        while first < len(rows):
+            done = ends[first - 1] if first else 0
+            last = max(first + 1, int(np.searchsorted(ends, done + CANDIDATES, side="right")))
+            wide = width[first:last]
+            x = np.repeat(np.arange(first, last), wide)
+            y = np.arange(len(x)) + np.repeat(begin[first:last] - (np.cumsum(wide) - wide), wide)
+            close = np.flatnonzero(np.bitwise_count(np.repeat(fps_ask[rows[first:last]], wide) ^ fps_live[y]) <= bits)
+            yield ask[rows[x[close]]], live[y[close]]
+            first = last
+
+
+def _gathered(pairs: Iterable[tuple[np.ndarray, np.ndarray]], least: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The same pairs, ``least`` or more at a time but for the last."""
+    held, number = [], 0
+    for a, b in pairs:
+        if len(a) >= least:
+            yield a, b
+            continue
+        held.append((a, b))
+        number += len(a)
+        if number >= least:
+            yield tuple(map(np.concatenate, zip(*held)))
+            held, number = [], 0
+    if held:
+        yield tuple(map(np.concatenate, zip(*held)))
+
+
 def shard_groups(fps: np.ndarray, home: np.ndarray, part: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """The first place of the group of each fingerprint of a shard, where
     links go from any fingerprint to one that lives here, and the first
     place that a link leads to directly."""
     groups, direct = _Groups(len(fps)), np.arange(len(fps))
-    for a, b in close_pairs(fps, np.flatnonzero(home), np.arange(len(fps)), part, bits):
+    lives, visits = np.flatnonzero(home), np.flatnonzero(~home)
+    found = itertools.chain(close_pairs(fps, lives, lives, part, bits, True), close_pairs(fps, lives, visits, part, bits))
+    for a, b in _gathered(found, len(fps)):
         groups.join(a, b)
         np.minimum.at(direct, np.maximum(a, b), np.minimum(a, b))
     return groups.roots, direct

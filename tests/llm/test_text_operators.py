@@ -277,3 +277,22 @@ def test_components_of_a_long_chain(spark):
     links = [(n, n + 1) for n in range(100)] + [(500, 400), (400, 500), (7, 7), (None, 3)]
     found = dict(components.components(spark.createDataFrame(links, "a long, b long")).collect())
     assert found == {**{n: 0 for n in range(101)}, 400: 400, 500: 400}
+
+
+def test_close_pairs_compares_few(monkeypatch):
+    fps = np.unique(np.random.default_rng(5).integers(0, 2**64, 20_000, dtype=np.uint64))
+    fps[:50] = fps[50:100] ^ np.uint64(0b1011 << 20)
+    places, compared, count = np.arange(len(fps)), [0], np.bitwise_count
+    own = fps >> np.uint64(16) & np.uint64(0xFFFF)
+    want = {(i, i + 50) for i in range(50) if count(own[i] ^ own[i + 50]) <= 1}
+
+    def counting(x):
+        compared[0] += np.size(x)
+        return count(x)
+
+    monkeypatch.setattr(simhash.np, "bitwise_count", counting)
+    found = [(a, b) for a, b in simhash.close_pairs(fps, places, places, 1, 7)]
+    pairs = {(int(x), int(y)) for a, b in found for x, y in zip(a, b) if x < y}
+    assert pairs == want
+    # each meets the 17 of 65,536 values that differ in at most one bit: some 5 others
+    assert compared[0] < 10 * len(fps)
