@@ -243,6 +243,24 @@ def test_matches_equal_brute_force(spark, monkeypatch, request, kind, broadcast)
         assert matching.best_matches(profiles, excluded, items.limit(0), ["place"], 4).isEmpty()
 
 
+def test_matches_ask_few_blocks_in_any_order(spark, monkeypatch):
+    """Like items share a block even if the given order scatters them."""
+    monkeypatch.setattr(matching, "BLOCK_ITEMS", 5)
+    monkeypatch.setattr(matching, "SHELF_ITEMS", 20)
+    rng = np.random.default_rng(4)
+    vectors = rng.normal(size=(10, 6))[np.arange(200) % 10] + rng.normal(size=(200, 6)) * 0.01
+    profiles = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors[:60])], "who long, profile array<double>")
+    items = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "product_id long, unit array<double>")
+    own = profiles.select("who", F.col("who").alias("product_id"))
+    report, got = {}, {}
+    for r in matching.best_matches(profiles, own, items, ["product_id"], 3, report).collect():
+        got.setdefault(r["who"], {})[r["rank"]] = r["product_id"]
+    scores = np.round(vectors[:60] @ vectors.T, matching.DIGITS)
+    scores[np.arange(60), np.arange(60)] = -np.inf
+    assert got == {i: dict(enumerate(np.argsort(-scores[i], kind="stable")[:3].tolist(), 1)) for i in range(60)}
+    assert report["all"] == 60 * 40 and report["asked"] < 0.3 * report["all"]
+
+
 def test_similar_items_leave_the_item_out(spark):
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(made_vectors("noise"))], "id long, v array<double>")
     unit = made_vectors("noise") / np.linalg.norm(made_vectors("noise"), axis=1, keepdims=True)
