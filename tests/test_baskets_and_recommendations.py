@@ -288,6 +288,26 @@ def test_singular_values(spark):
     assert right.count() == 30
 
 
+def test_factors_from_cells_and_segments(spark, monkeypatch):
+    """Many small cells, missing rows and repeated entries: the dense answer, and the same bits each time."""
+    for name, value in (("CELL_ENTRIES", 40), ("FEWEST_CELLS", 5), ("BLOCK_NUMBERS", 90), ("SEGMENT_NUMBERS", 36)):
+        monkeypatch.setattr(factorization, name, value)
+    rng = np.random.default_rng(8)
+    matrix = rng.integers(0, 3, (40, 4)) @ (rng.integers(0, 3, (4, 30)) * (rng.random(30) < 0.8))
+    matrix[[7, 21]] = 0
+    once = entries_of(spark, matrix)
+    entries = once.unionByName(once)
+    values, left, right = factorization.truncated_svd(entries, 4, 8)
+    np.testing.assert_allclose(values, 2 * np.linalg.svd(matrix, compute_uv=False)[:4], rtol=1e-8)
+    u, v = ({r[0]: r[1] for r in t.collect()} for t in (left, right))
+    assert sorted(u) == np.flatnonzero(matrix.any(1)).tolist() and sorted(v) == np.flatnonzero(matrix.any(0)).tolist()
+    for i in u:
+        for j in v:
+            assert np.dot(np.array(u[i]) * values, v[j]) == pytest.approx(2 * matrix[i, j], abs=1e-6)
+    again = factorization.truncated_svd(entries.repartition(5), 4, 8)
+    assert again[0] == values and {r[0]: r[1] for r in again[1].collect()} == u
+
+
 def test_factors_of_both_sides_and_their_lists(spark, monkeypatch):
     """A matrix of rank 4 is found exactly: factors, expectations and lists."""
     monkeypatch.setattr(matching, "BLOCK_ITEMS", 5)
