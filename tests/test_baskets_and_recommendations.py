@@ -6,7 +6,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from basketlens.operators import baskets, content, evaluation, factorization, matching, methods, recommend
+from basketlens.functions import joins
+from basketlens.operators import baskets, content, evaluation, facts, factorization, matching, methods, recommend
 from basketlens.operators.recommend import Recommender
 from tests.conftest import brute_pairs, one, rows
 
@@ -356,3 +357,23 @@ def test_lists_from_factors_equal_dense_decomposition(spark, monkeypatch):
 def test_decay(shop):
     ds = shop(orders=[("a", "c", "2020-01-01"), ("b", "c", "2020-01-31")], items=[("a", "p", 1), ("b", "p", 1)], customers=[("c", "u")])
     assert rows(recommend.decayed_popularity(ds).select("product_id", "weight")) == [("p", 1.5)]
+
+
+def test_items_are_counted_once_on_their_way_to_persons(shop, no_broadcast, monkeypatch):
+    ds = shop(orders=[("a", "c", "2020-01-01"), ("b", "x", "2020-01-02"), ("d", "e", "2020-01-03")],
+              items=[("a", "p", 1), ("a", "p", 2), ("a", "q", 3), ("b", "p", 4), (None, "p", 5)], customers=[("c", "u"), ("e", None)])
+    counted, hot_keys = [], joins.hot_keys
+    monkeypatch.setattr(joins, "hot_keys", lambda facts, *others: counted.append(facts.count()) or hot_keys(facts, *others))
+    found = facts.items_with_person(ds)
+    assert found.columns == ["customer_id", "order_id", "product_id", "price", "freight_value", "customer_unique_id"]
+    assert rows(found.select("customer_id", "order_id", "product_id", "customer_unique_id")) == [
+        ("c", "a", "p", "u"), ("c", "a", "p", "u"), ("c", "a", "q", "u")]
+    assert counted == [3, 4]  # orders, then items; never their join
+
+
+def test_what_an_evaluation_reads_often_is_written(shop):
+    ds = shop(orders=[(f"o{d}", "c", f"2020-01-0{d}") for d in range(1, 6)], items=[(f"o{d}", f"p{d}", 1) for d in range(1, 6)], customers=[("c", "u")])
+    known, truth = evaluation.held_out(ds)
+    assert rows(known.order_items.select("order_id")) == [(f"o{d}",) for d in range(1, 5)] and rows(truth) == [("u", "p5")]
+    for table in (known.orders, known.order_items, truth):
+        assert table.inputFiles() and all("/basketlens-" in f for f in table.inputFiles())
