@@ -354,6 +354,16 @@ def test_lists_from_factors_equal_dense_decomposition(spark, monkeypatch):
     assert report["asked"] < report["all"]
 
 
+def test_blocks_of_a_factorization_grow_with_its_entries(spark, monkeypatch):
+    entries, asked, real = entries_of(spark, np.ones((12, 10))), {}, factorization.ALS
+    monkeypatch.setattr(factorization, "ALS", lambda **options: asked.update(options) or real(**options))
+    assert factorization.matrix_factorization(entries, 2, 1).userFactors.count() == 12
+    assert asked["numUserBlocks"] == asked["numItemBlocks"] == 10
+    monkeypatch.setattr(factorization, "ALS_BLOCK_ENTRIES", 5)
+    assert factorization.matrix_factorization(entries, 2, 1).itemFactors.count() == 10
+    assert asked["numUserBlocks"] == asked["numItemBlocks"] == 24
+
+
 def test_decay(shop):
     ds = shop(orders=[("a", "c", "2020-01-01"), ("b", "c", "2020-01-31")], items=[("a", "p", 1), ("b", "p", 1)], customers=[("c", "u")])
     assert rows(recommend.decayed_popularity(ds).select("product_id", "weight")) == [("p", 1.5)]
