@@ -244,6 +244,26 @@ def test_matches_equal_brute_force(spark, monkeypatch, request, kind, broadcast)
         assert matching.best_matches(profiles, excluded, items.limit(0), ["place"], 4).isEmpty()
 
 
+@pytest.mark.parametrize("scale", [1e-6, 1.0, 1e6, 1e25])
+def test_scores_of_a_shelf_are_exact_at_any_scale(scale):
+    """Short numbers find candidates; close calls are decided by the exact products."""
+    rng, kept = np.random.default_rng(9), []
+    units = rng.normal(size=(600, 12))
+    units[300:] = units[:300] * (1 + rng.normal(size=(300, 1)) * 1e-8)
+    profiles = rng.normal(size=(50, 12)) * scale
+    taken = rng.integers(0, 50, 400), rng.integers(0, 600, 400)
+    scores = np.round(profiles @ units.T, matching.DIGITS)
+    scores[taken] = -np.inf
+    best, _ = matching.shelf_matches(profiles, np.full(50, -np.inf), units, np.arange(600) // 40, np.arange(600), taken, 7)
+    assert len(best.row) == 350
+    for row, column, score in zip(best.row, best.column, best.score):
+        assert score == pytest.approx(scores[row, column], rel=1e-12)
+        kept.append((row, column))
+    least = np.sort(scores, axis=1)[:, -7]
+    for row, column in kept:
+        assert scores[row, column] >= least[row] - 1e-9 * max(1.0, scale * 1e-5)
+
+
 def test_matches_ask_few_blocks_in_any_order(spark, monkeypatch):
     """Like items share a block even if the given order scatters them."""
     monkeypatch.setattr(matching, "BLOCK_ITEMS", 5)
